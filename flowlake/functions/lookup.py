@@ -1,0 +1,21 @@
+"""Joins against a side that is expected to be small."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+BROADCAST_ROWS = 100_000
+
+
+def join_checked(df: DataFrame, side: DataFrame, on: list[str], how: str = "left", limit: int = BROADCAST_ROWS) -> DataFrame:
+    """Join ``side``, broadcasting it only after seeing that it has at most ``limit`` rows.
+
+    Within the limit the rows are fetched once and become a local table, so the job behind ``side`` is
+    not run again. Beyond it the join is left to the planner (shuffle join, adaptive skew handling).
+    """
+    rows = side.take(limit + 1)
+    if len(rows) > limit:
+        return df.join(side, on, how)
+    local = df.sparkSession.createDataFrame(rows, side.schema)
+    return df.join(F.broadcast(local), on, how)

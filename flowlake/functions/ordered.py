@@ -48,14 +48,14 @@ def with_ordinal(df: DataFrame, order: list[str], name: str = "ordinal", parts:
 
 
 def running_totals(
-    df: DataFrame, groups: list[str], order: str, sums: list[str], parts: int | None = None
+    df: DataFrame, groups: list[str], order: list[str], sums: list[str], parts: int | None = None
 ) -> DataFrame:
     """Per group and in the order of ``order``: for each column of ``sums`` add ``<c>_before`` (sum of
     all earlier rows) and ``<c>_total`` (sum of the group).
 
     ``order`` must be unique inside a group (aggregate first). A group may span any number of tasks.
     """
-    ranged = _ranged(df, [*groups, order], parts)
+    ranged = _ranged(df, [*groups, *order], parts)
     keys = ["_part", *groups]
     slices = ranged.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums])
     whole = Window.partitionBy(*groups) if groups else Window.partitionBy(F.lit(0))
@@ -66,7 +66,7 @@ def running_totals(
         *[F.sum(c).over(whole).alias(f"{c}_total") for c in sums],
     )
     # The window and the join share the same keys: one shuffle serves both.
-    local = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    local = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     walked = ranged.drop("_index").select(
         "*", *[F.coalesce(F.sum(c).over(local), F.lit(0)).alias(f"_{c}_loc") for c in sums]
     )
@@ -88,7 +88,7 @@ def exact_quantiles(
         df.filter(F.col(value).isNotNull() & ~F.isnan(value))
         .groupBy(*groups, value).agg(F.count(F.lit(1)).alias("n"))
     )
-    ranked = running_totals(counts, groups, value, ["n"], parts)
+    ranked = running_totals(counts, groups, [value], ["n"], parts)
 
     def at(rank):
         hit = (F.col("n_before") <= rank) & (rank < F.col("n_before") + F.col("n"))

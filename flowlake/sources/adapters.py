@@ -88,3 +88,64 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("l_orderkey") * 10 + line).alias("flow_key"),
         label.alias("label"), guess.alias("prediction"), weights.alias("probability"),
     )
+
+
+def run_log(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """A run log from orders: one run each, with a few tags and two steps of every metric."""
+    key, cust = F.col("o_orderkey"), F.col("o_custkey")
+    kinds = F.create_map(*[
+        F.lit(x)
+        for pair in zip(
+            ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"],
+            ["LogisticRegression", "Decision Tree", "random_forest", "GBT_OneVsRest", "Naive-Bayes"],
+        )
+        for x in pair
+    ])
+    start = F.unix_millis(F.col("o_orderdate").cast("timestamp")) + key
+    base = table(spark, sf_dir, "orders").select(
+        F.concat(F.lit("r"), key.cast("string")).alias("run_uuid"), key.alias("k"), cust.alias("c"),
+        kinds[F.col("o_orderpriority")].alias("kind"),
+        F.when(F.col("o_orderstatus") == "F", "FINISHED").when(F.col("o_orderstatus") == "O", "RUNNING")
+        .otherwise("FAILED").alias("status"),
+        start.alias("start_time"),
+        F.when(cust % 3 == 0, "binary").otherwise("multiclass").alias("task"),
+    )
+    k, c = F.col("k"), F.col("c")
+
+    def tag(name, value):
+        return F.struct(F.lit(name).alias("key"), value.alias("value"))
+
+    names = ["accuracy", "f1_score", "precision", "recall", "log_loss", "auc_roc"]
+    steps = F.array(*[
+        F.struct(
+            F.lit(name).alias("key"),
+            (((k * 31 + c * 17 + i * 101 + s * 53) % 1000) / F.lit(1000.0)).alias("value"),
+            F.lit(s).cast("long").alias("step"), (F.col("start_time") + s * 1000).alias("logged_at"),
+        )
+        for i, name in enumerate(names) for s in (0, 1)
+    ])
+    logged = (F.col("key") != "auc_roc") | (F.col("task") == "binary")
+    logged = logged & ((F.col("key") != "f1_score") | (k % 13 != 0))
+    return {
+        "runs": base.select(
+            "run_uuid", F.concat(F.lower("kind"), F.lit("_v"), (k % 7).cast("string")).alias("name"), "status",
+            "start_time", (F.col("start_time") + (c % 977) * 1037 + 250).alias("end_time"),
+            F.lit(1).cast("long").alias("experiment_id"),
+        ),
+        "tags": base.select("run_uuid", F.inline(F.array(
+            tag("model_type", F.when(k % 11 != 0, F.col("kind"))),
+            tag("classification_type", F.col("task")),
+            tag("num_classes", F.when(F.col("task") == "binary", "2").otherwise("5")),
+        ))).filter("value is not null"),
+        "metrics": base.select("run_uuid", "k", "task", F.inline(steps)).filter(logged).drop("k", "task"),
+    }
+
+
+def event_records(df: DataFrame) -> DataFrame:
+    """Feed messages from the event table, every tenth event sent twice. Works on streams."""
+    copies = F.array_repeat(F.lit(1), F.when(F.col("event_id") % 10 == 0, 2).otherwise(1))
+    return df.select(
+        "event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id",
+        F.concat(F.lit("10.1.0."), (F.col("user_id") % 250).cast("string")).alias("source_ip"),
+        F.col("event_type").alias("attack_type"), "value", F.explode(copies).alias("_copy"),
+    ).drop("_copy")

@@ -25,9 +25,12 @@ def _first(df: DataFrame, names: list[str], default: str) -> Column:
     return F.coalesce(*found, F.lit(default))
 
 
-def enrich(df: DataFrame, timestamp: Column) -> DataFrame:
-    """Add the envelope fields a record lacks. ``timestamp`` is the event's own time column, so that a
-    replay yields the same ``flow_id``."""
+def enrich(df: DataFrame, timestamp: Column, id_from: list[str] | None = None) -> DataFrame:
+    """Add the envelope fields a record lacks.
+
+    ``timestamp`` is the event's own time, so that a replay yields the same ``flow_id``. By default the
+    id is ``source:port-target:port-timestamp``; ``id_from`` names other columns to build it from.
+    """
     # Names are compared without case: a table cannot hold both spellings of the label.
     label = next((c for c in df.columns if c.lower() == "attack_type"), "attack_type")
     df = df.withColumns({
@@ -38,6 +41,9 @@ def enrich(df: DataFrame, timestamp: Column) -> DataFrame:
     })
     if "flow_id" in df.columns:
         return df
+    if id_from:
+        parts = [F.coalesce(quoted(c).cast("string"), F.lit("")) for c in id_from]
+        return df.withColumn("flow_id", F.md5(F.concat_ws("|", *parts)))
     return df.withColumn("flow_id", F.concat(
         F.col("source_ip"), F.lit(":"), _first(df, SOURCE_PORT_FROM, NO_PORT), F.lit("-"),
         F.col("dest_ip"), F.lit(":"), _first(df, DEST_PORT_FROM, NO_PORT), F.lit("-"), F.col("timestamp"),

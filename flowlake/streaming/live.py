@@ -41,7 +41,7 @@ def message_rate(df: DataFrame, ts: str, span: int = 60, block: int = 3600) -> D
     Rows are folded to seconds first. Time is then cut into blocks of ``block`` seconds that also get
     the tail of the block before, so the running sum never needs all seconds in one task.
     """
-    second = F.floor(F.col(ts).cast("timestamp").cast("double")).cast("long")
+    second = F.unix_seconds(F.col(ts).cast("timestamp"))
     ticks = df.select(second.alias("second")).filter("second is not null").groupBy("second").agg(
         F.count(F.lit(1)).alias("n")
     )

@@ -108,12 +108,11 @@ def payloads(messages: DataFrame) -> DataFrame:
 
 
 def table_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int | None = None) -> DataFrame:
-    """Stream the files of a Parquet table: a folder, or a single file."""
+    """Stream the files of a Parquet table: its folder, or a glob of files."""
     reader = spark.readStream.schema(schema)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(files_per_trigger))
-    # The last letter as a character class makes this a glob, which the file source accepts for both.
-    return reader.parquet(f"{path[:-1]}[{path[-1]}]")
+    return reader.parquet(path)
 
 
 def envelope_schema(base: T.StructType, extra: list[str] | None = None) -> T.StructType:

@@ -57,7 +57,13 @@ def read_first(spark: SparkSession, paths: list[str], fmt: str = "parquet") -> D
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
                 partition_by: list[str] | None = None) -> DataFrame:
-    """Write and read back: later steps start from files, not from the lineage that produced them."""
+    """Write and read back: later steps start from files, not from the lineage that produced them.
+
+    A partitioned write is rebalanced first: few files per folder, and a hot folder still spreads over
+    several tasks because adaptive execution splits it.
+    """
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.format(fmt).mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from itertools import combinations
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -110,26 +108,28 @@ def histogram(df: DataFrame, columns: list[str], bins: int = 30, by: list[str] |
 
 
 def correlation(df: DataFrame, columns: list[str], limit: float | None = None, digits: int | None = None) -> DataFrame:
-    """Pearson correlation of every pair, each over the rows where both are usable; symmetric, long.
+    """Pearson correlation of every two columns, each over the rows where both are usable; long format.
 
-    All pairs are aggregated in the same pass.
+    One scan. Each row is expanded once per column (not per pair) and folded map-side into one row of
+    partial moments per column, so what is shuffled is as wide and as long as the matrix.
     """
-    clean = df.select(*[finite_or_null(quoted(c).cast("double"), limit).alias(f"x{i}") for i, c in enumerate(columns)])
-    pairs = list(combinations(range(len(columns)), 2))
-    wide = clean.agg(*[F.corr(f"x{i}", f"x{j}").alias(f"r{i}_{j}") for i, j in pairs])
+    usable = {c: finite_or_null(quoted(c).cast("double"), limit) for c in columns}
+    cells = df.select(*[v.alias(f"x{i}") for i, v in enumerate(usable.values())]).select(
+        "*", F.inline(F.array(*[
+            F.struct(F.lit(i).alias("_i"), F.col(f"x{i}").alias("_x")) for i in range(len(columns))
+        ]))
+    )
+    rows = cells.groupBy("_i").agg(*[F.corr("_x", f"x{j}").alias(f"r{j}") for j in range(len(columns))])
+    names = F.array(*[F.lit(c) for c in columns])
 
-    def cell(i, j, value):
-        if digits is not None:
-            value = F.round(value, digits)
+    def cell(j):
+        r = F.when(F.col("_i") == j, F.lit(1.0)).otherwise(F.col(f"r{j}"))
         return F.struct(
-            F.lit(columns[i]).alias("feature_a"), F.lit(columns[j]).alias("feature_b"), value.alias("r")
+            names[F.col("_i")].alias("feature_a"), F.lit(columns[j]).alias("feature_b"),
+            (r if digits is None else F.round(r, digits)).alias("r"),
         )
 
-    cells = [cell(i, i, F.lit(1.0)) for i in range(len(columns))]
-    for i, j in pairs:
-        r = F.col(f"r{i}_{j}")
-        cells += [cell(i, j, r), cell(j, i, r)]
-    return wide.select(F.inline(F.array(*cells)))
+    return rows.select(F.inline(F.array(*[cell(j) for j in range(len(columns))])))
 
 
 def _bounds(cells: DataFrame, low: float, high: float, exact: bool) -> DataFrame:

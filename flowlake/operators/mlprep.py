@@ -107,18 +107,22 @@ def _exact_side(df, keys, label, ratio, seed, cells):
 
 def overlap(train: DataFrame, test: DataFrame, keys: list[str]) -> DataFrame:
     """Keys that occur on both sides; empty for a sound split."""
-    return test.select(*keys).distinct().join(train.select(*keys), keys, "left_semi")
+    return test.select(*keys).distinct().join(train.select(*keys).distinct(), keys, "left_semi")
 
 
 def complement(df: DataFrame, train: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of ``df`` whose key is not in ``train``."""
-    return df.join(train.select(*keys), keys, "left_anti")
+    return df.join(train.select(*keys).distinct(), keys, "left_anti")
 
 
 def assemble(df: DataFrame, features: list[str], keep: list[Column]) -> DataFrame:
-    """One projection to clean doubles, then the vector; rows with infinities left are kept as they are."""
+    """One projection to clean doubles, then the vector.
+
+    The scrub leaves nothing for the assembler to skip, so it is told to keep every row: its skip mode
+    would repeat all feature expressions in a filter.
+    """
     slim = df.select(*keep, *[scrub(quoted(c)).alias(c) for c in features])
-    vector = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="skip")
+    vector = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep")
     return vector.transform(slim).drop(*features)
 
 
@@ -159,8 +163,9 @@ def prepare_multiclass(df: DataFrame, label: str | None = None, features: list[s
     known = df.filter(quoted(label).isNotNull())
     data = assemble(indexer.transform(known), names, [*[quoted(k) for k in keep or []], F.col("label")])
     if weighted:
-        weights = F.create_map(*[F.lit(v) for r in rows for v in (r["label"], r["weight"])])
-        data = data.withColumn("classWeight", F.coalesce(weights[F.col("label")], F.lit(1.0)))
+        # Labels count from 0, so the weight is found by position.
+        weights = F.array(*[F.lit(r["weight"]) for r in rows])
+        data = data.withColumn("classWeight", F.coalesce(F.get(weights, F.col("label").cast("int")), F.lit(1.0)))
     return Prepared(data, classes, labels, names)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,7 +16,7 @@ from flowlake.plans.medallion import run_batch
 from flowlake.plans.sql import FEATURES, FORMULAS, guard, union, with_clean, with_flows, with_gold, with_raw
 from flowlake.session import scratch_path
 from flowlake.sources import tables
-from flowlake.sources.adapters import flows, raw_flows, raw_projection, table
+from flowlake.sources.adapters import event_records, flows, raw_flows, table
 from flowlake.sources.messages import enrich, envelope_schema, parse_payload, to_messages
 
 
@@ -22,6 +24,22 @@ def gold(spark, sf):
     return flows(spark, sf).transform(C.clean).transform(add_features)
 
 
+_STORED: dict[tuple, str] = {}
+
+
+def stored_gold(spark, sf):
+    """The feature layer as a stored table, written by the batch pipeline on first use in a session.
+
+    Exploration, training and audits read this table, column by column, instead of cleaning again.
+    """
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _STORED:
+        root = scratch_path(spark, "medallion")
+        run_batch(flows(spark, sf), root)
+        _STORED[key] = f"{root}/gold"
+    return spark.read.parquet(_STORED[key])
+
+
 def class_means(df):
     """Rows and mean of every derived feature per class."""
     return df.groupBy("Attack_type").agg(
@@ -81,7 +99,6 @@ def read_first(spark, sf):
 select year(ts)::int as ingestion_year, month(ts)::int as ingestion_month, day(ts)::int as ingestion_day,
   count(*) as n from events where ts >= timestamp '2024-01-10' group by 1, 2, 3""")
 def bronze_partition_counts(spark, sf):
-    import datetime as dt
     events = table(spark, sf, "events").select(F.col("ts").cast("timestamp").alias("ingestion_time"), "event_id")
     stored = tables.write_table(
         tables.with_date_parts(events), scratch_path(spark, "dated"), partition_by=tables.DATE_PARTS
@@ -124,17 +141,19 @@ def messages(spark, sf):
 
 @query("guess_types", with_raw("""
 select flow_key, case when frame_time = 'n/a' then null else cast(frame_time as bigint) end as seconds,
-  case when frame_time = 'n/a' then 'n/a' end as seconds_text,
-  (source_ip is null) as source_omitted
+  frame_time = 'n/a' as seconds_quoted, source_ip, tcp_seq
 from raw"""))
 def guess_types(spark, sf):
     wire = to_messages(raw_flows(spark, sf).drop("event_time"), key="flow_key", guess=True)
-    seconds = F.try_variant_get(F.try_parse_json("value"), "$['frame.time']", "string")
-    body = F.get_json_object("value", "$['ip.src_host']")
-    return wire.select(
-        F.col("key").cast("long").alias("flow_key"), seconds.try_cast("long").alias("seconds"),
-        F.when(seconds.try_cast("long").isNull(), seconds).alias("seconds_text"),
-        body.isNull().alias("source_omitted"),
+    schema = T.StructType([
+        T.StructField("frame.time", T.LongType()), T.StructField("ip.src_host", T.StringType()),
+        T.StructField("tcp.seq", T.DoubleType()),
+    ])
+    quoted_time = F.col("value").contains('"frame.time":"')
+    back = parse_payload(wire.withColumn("seconds_quoted", quoted_time), schema, "value").transform(sanitize_columns)
+    return back.select(
+        F.col("key").cast("long").alias("flow_key"), F.col("frame_time").alias("seconds"), "seconds_quoted",
+        F.col("ip_src_host").alias("source_ip"), "tcp_seq",
     )
 
 
@@ -221,7 +240,6 @@ def dedup_rows(spark, sf):
 
 @query("dedup_keys", "select event_type as attack_type, count(*) as n from events group by event_type")
 def dedup_keys(spark, sf):
-    from flowlake.sources.adapters import event_records
     feed = event_records(table(spark, sf, "events"))
     return C.dedup(feed, ["event_id"]).groupBy("attack_type").agg(F.count(F.lit(1)).alias("n"))
 
@@ -251,7 +269,7 @@ def numeric_scrub(spark, sf):
     f"select '{c}' as column_name, count(*) as n, round(sum({c}), 2) as total from gold"
     for c in ["tcp_flags", "tcp_len", "tcp_seq", "tcp_srcport", "conn_efficiency", "flow_intensity"])))
 def chosen_columns(spark, sf):
-    df = gold(spark, sf)
+    df = stored_gold(spark, sf)
     names = [c for c in feature_columns(df) if c in {
         "tcp_flags", "tcp_len", "tcp_seq", "tcp_srcport", "conn_efficiency", "flow_intensity", "Attack_label"}]
     wide = df.agg(F.count(F.lit(1)).alias("n"), *[F.round(F.sum(scrub(quoted(c))), 2).alias(c) for c in names])
@@ -292,6 +310,3 @@ def gold_features(spark, sf):
 def summary(spark, sf):
     df = feature_summary(gold(spark, sf))
     return df.select("column_name", "n", *[F.round(c, 4).alias(c) for c in df.columns[2:]])
-
-
-__all__ = ["gold", "raw_projection"]

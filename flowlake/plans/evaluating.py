@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from flowlake.operators import evaluate as V
 from flowlake.plans.catalog import query
-from flowlake.plans.cleaning import gold
+from flowlake.plans.cleaning import stored_gold
 from flowlake.plans.sql import FEATURES, NUMERIC, union, with_flows, with_gold
 from flowlake.sources.adapters import CLASSES, flows, predictions, table
 
@@ -116,7 +116,7 @@ select feature, round(greatest(a, 1 - a), 6) as auc, round(auc, 6) as stump_auc,
   case when greatest(a, 1 - a) > 0.99 then 'YES' when greatest(a, 1 - a) > 0.95 then 'HIGH' else '' end as flag
 from areas join best using (feature) where i = 1"""))
 def leakage_audit(spark, sf):
-    result = V.leakage_audit(gold(spark, sf), "Attack_label", _AUDITED)
+    result = V.leakage_audit(stored_gold(spark, sf), "Attack_label", _AUDITED)
     return result.select("feature", *[F.round(c, 6).alias(c) for c in ["auc", "stump_auc", "stump_accuracy"]], "flag")
 
 

@@ -8,7 +8,7 @@ from flowlake.operators import eda as E
 from flowlake.operators.features import FEATURE_NAMES
 from flowlake.operators.quality import frequency
 from flowlake.plans.catalog import query
-from flowlake.plans.cleaning import gold
+from flowlake.plans.cleaning import stored_gold
 from flowlake.plans.sql import FEATURES, draw, union, with_flows, with_gold
 from flowlake.sources.adapters import CLASSES, flows, table
 
@@ -84,13 +84,13 @@ select {group}feature, bin, round(lo + w * bin, 6) as bin_start, count(*) as n f
 @query("eda_histogram", with_gold(_histogram_sql(
     union(f"select '{c}' as feature, {c} as value from gold" for c in FEATURES), "")))
 def eda_histogram(spark, sf):
-    return E.histogram(gold(spark, sf), FEATURE_NAMES, 30).withColumn("bin_start", F.round("bin_start", 6))
+    return E.histogram(stored_gold(spark, sf), FEATURE_NAMES, 30).withColumn("bin_start", F.round("bin_start", 6))
 
 
 @query("eda_histogram_by_label", with_gold(_histogram_sql(
     union(f"select Attack_label, '{c}' as feature, {c} as value from gold" for c in FEATURES), "Attack_label")))
 def eda_histogram_by_label(spark, sf):
-    return E.histogram(gold(spark, sf), FEATURE_NAMES, 30, by=["Attack_label"]).withColumn(
+    return E.histogram(stored_gold(spark, sf), FEATURE_NAMES, 30, by=["Attack_label"]).withColumn(
         "bin_start", F.round("bin_start", 6)
     )
 
@@ -101,7 +101,7 @@ def eda_histogram_by_label(spark, sf):
     + ("" if a == b else " from gold")
     for a in CORRELATED for b in CORRELATED)))
 def eda_correlation(spark, sf):
-    return E.correlation(gold(spark, sf), CORRELATED, limit=1e15, digits=4)
+    return E.correlation(stored_gold(spark, sf), CORRELATED, limit=1e15, digits=4)
 
 
 @query("eda_mask", with_flows("""
@@ -126,7 +126,7 @@ trimmed as (select c.* from cells c join bounds b using (feature) where value be
 select feature, Attack_type, count(*) as n, round(min(value), 6) as min_value, round(max(value), 6) as max_value,
   round(avg(value), 4) as mean from trimmed group by 1, 2"""))
 def eda_trim(spark, sf):
-    cells = E.trim(gold(spark, sf), FEATURE_NAMES, keep=["Attack_type"])
+    cells = E.trim(stored_gold(spark, sf), FEATURE_NAMES, keep=["Attack_type"])
     return cells.groupBy("feature", "Attack_type").agg(
         F.count(F.lit(1)).alias("n"), F.round(F.min("value"), 6).alias("min_value"),
         F.round(F.max("value"), 6).alias("max_value"), F.round(F.avg("value"), 4).alias("mean"),
@@ -136,7 +136,7 @@ def eda_trim(spark, sf):
 @query("eda_log1p", with_gold("""
 select flow_key, round(ln(1 + greatest(traffic_asymmetry_ratio, 0.0)), 6) as logged from gold"""))
 def eda_log1p(spark, sf):
-    return gold(spark, sf).select(
+    return stored_gold(spark, sf).select(
         "flow_key", F.round(E.log1p_clipped(F.col("traffic_asymmetry_ratio")), 6).alias("logged")
     )
 
@@ -159,7 +159,7 @@ select feature, Attack_type, count(*) as n, round(quantile_cont(value, 0.25), 6)
   round(quantile_cont(value, 0.5), 6) as median, round(quantile_cont(value, 0.75), 6) as q3
 from logged group by 1, 2"""))
 def eda_box(spark, sf):
-    df = E.box_statistics(gold(spark, sf), "Attack_type", FEATURE_NAMES, LOGGED)
+    df = E.box_statistics(stored_gold(spark, sf), "Attack_type", FEATURE_NAMES, LOGGED)
     return df.select("feature", "Attack_type", "n", *[F.round(c, 6).alias(c) for c in ["q1", "median", "q3"]])
 
 

@@ -14,7 +14,7 @@ from flowlake.operators import explain as X
 from flowlake.operators import mlprep as M
 from flowlake.operators import models
 from flowlake.plans.catalog import query
-from flowlake.plans.cleaning import gold
+from flowlake.plans.cleaning import stored_gold
 from flowlake.plans.sql import NUMERIC, draw, union, with_clean, with_gold
 
 SEED = 42
@@ -33,7 +33,7 @@ classes as (
     "select Attack_label::double as label, count(*) as n, " + str(len(NUMERIC)) + " as width, "
     + ", ".join(f"round(sum({c}::double), 2) as {c}" for c in NUMERIC) + " from gold group by 1"))
 def ml_features_binary(spark, sf):
-    data = M.prepare_binary(gold(spark, sf), features=NUMERIC)
+    data = M.prepare_binary(stored_gold(spark, sf), features=NUMERIC)
     cells = data.select("label", vector_to_array("features").alias("x"))
     return cells.groupBy("label").agg(
         F.count(F.lit(1)).alias("n"), F.max(F.size("x")).alias("width"),
@@ -43,21 +43,21 @@ def ml_features_binary(spark, sf):
 
 @query("label_index", with_gold(f", {_CLASS_TABLE} select label, name, n, round(weight, 6) as weight from classes"))
 def label_index(spark, sf):
-    return M.class_table(gold(spark, sf), "Attack_type").withColumn("weight", F.round("weight", 6))
+    return M.class_table(stored_gold(spark, sf), "Attack_type").withColumn("weight", F.round("weight", 6))
 
 
 @query("class_weights", with_gold("""
 select Attack_label, count(*) as n, round((select count(*) from gold)
   / ((select count(distinct Attack_label) from gold) * count(*))::double, 6) as weight from gold group by 1"""))
 def class_weights(spark, sf):
-    return M.class_weights(gold(spark, sf), "Attack_label").withColumn("weight", F.round("weight", 6))
+    return M.class_weights(stored_gold(spark, sf), "Attack_label").withColumn("weight", F.round("weight", 6))
 
 
 @query("weight_column", with_gold(f""", {_CLASS_TABLE}
 select flow_key, Attack_type, round(case when Attack_type = 'MITM' then 1.0::double else weight end, 6) as "classWeight"
 from gold join classes on name = Attack_type"""))
 def weight_column(spark, sf):
-    df = gold(spark, sf).select("flow_key", "Attack_type")
+    df = stored_gold(spark, sf).select("flow_key", "Attack_type")
     weights = M.class_weights(df, "Attack_type").filter("Attack_type <> 'MITM'")  # absent: falls back to 1
     return M.add_weights(df, weights, "Attack_type").withColumn("classWeight", F.round("classWeight", 6))
 
@@ -66,7 +66,7 @@ def weight_column(spark, sf):
 select Attack_type, count(case when {TRAIN} then 1 end) as n_train, count(case when not ({TRAIN}) then 1 end) as n_test
 from gold group by 1"""))
 def split_sizes(spark, sf):
-    train, test = M.split(gold(spark, sf).select("flow_key", "Attack_type"), ["flow_key"], seed=SEED)
+    train, test = M.split(stored_gold(spark, sf).select("flow_key", "Attack_type"), ["flow_key"], seed=SEED)
     sides = train.withColumn("_t", F.lit(1)).unionByName(test.withColumn("_t", F.lit(0)))
     return sides.groupBy("Attack_type").agg(
         F.sum("_t").alias("n_train"), F.sum(1 - F.col("_t")).alias("n_test")
@@ -90,7 +90,7 @@ def split_exact(spark, sf):
 @query("split_disjoint", with_gold(f"""
 select 0::bigint as shared_keys, count(case when not ({TRAIN}) then 1 end) as complement_rows from gold"""))
 def split_disjoint(spark, sf):
-    df = gold(spark, sf).select("flow_key")
+    df = stored_gold(spark, sf).select("flow_key")
     train, test = M.split(df, ["flow_key"], seed=SEED)
     shared = M.overlap(train, test, ["flow_key"]).agg(F.count(F.lit(1)).alias("shared_keys"))
     rest = M.complement(df, train, ["flow_key"]).agg(F.count(F.lit(1))).scalar()
@@ -99,7 +99,7 @@ def split_disjoint(spark, sf):
 
 @query("split_random", with_gold("select count(*) as total, true as near_ratio from gold"))
 def split_random(spark, sf):
-    train, test = M.split_random(gold(spark, sf).select("flow_key"), seed=SEED)
+    train, test = M.split_random(stored_gold(spark, sf).select("flow_key"), seed=SEED)
     sides = train.withColumn("_t", F.lit(1)).unionByName(test.withColumn("_t", F.lit(0)))
     return sides.agg(
         F.count(F.lit(1)).alias("total"), (F.abs(F.avg("_t") - 0.8) < 0.05).alias("near_ratio")
@@ -108,7 +108,7 @@ def split_random(spark, sf):
 
 @query("class_counts", with_gold(f", {_CLASS_TABLE} select label, n from classes"))
 def class_counts(spark, sf):
-    return M.class_counts(M.prepare_multiclass(gold(spark, sf), features=["tcp_len"]).data)
+    return M.class_counts(M.prepare_multiclass(stored_gold(spark, sf), features=["tcp_len"]).data)
 
 
 @query("ml_prep", with_gold(f""", {_CLASS_TABLE}
@@ -116,7 +116,7 @@ select label, name, count(case when {TRAIN} then 1 end) as n_train, count(case w
   round(sum(weight), 4) as weight_sum, {len(NUMERIC)} as width
 from gold join classes on name = Attack_type group by 1, 2"""))
 def ml_prep(spark, sf):
-    sets = M.training_set(gold(spark, sf), ["flow_key"], features=NUMERIC, seed=SEED, persist=False)
+    sets = M.training_set(stored_gold(spark, sf), ["flow_key"], features=NUMERIC, seed=SEED, persist=False)
     sides = sets.train.withColumn("_t", F.lit(1)).unionByName(sets.test.withColumn("_t", F.lit(0)))
     counts = sides.groupBy("label").agg(
         F.sum("_t").alias("n_train"), F.sum(1 - F.col("_t")).alias("n_test"),
@@ -131,7 +131,7 @@ select Attack_label::double as label, count(case when {TRAIN} then 1 end) as n_t
   count(case when not ({TRAIN}) then 1 end) as n_test, round((select count(*) from gold) / 2.0::double, 3) as weight_sum
 from gold group by Attack_label"""))
 def ml_prep_binary(spark, sf):
-    sets = M.training_set(gold(spark, sf), ["flow_key"], multiclass=False, features=NUMERIC, seed=SEED, persist=False)
+    sets = M.training_set(stored_gold(spark, sf), ["flow_key"], multiclass=False, features=NUMERIC, seed=SEED, persist=False)
     sides = sets.train.withColumn("_t", F.lit(1)).unionByName(sets.test.withColumn("_t", F.lit(0)))
     return sides.groupBy("label").agg(
         F.sum("_t").alias("n_train"), F.sum(1 - F.col("_t")).alias("n_test"),
@@ -140,7 +140,7 @@ def ml_prep_binary(spark, sf):
 
 
 def _scaled(spark, sf, scaler):
-    data = M.assemble(gold(spark, sf), NUMERIC, [F.col("Attack_label").cast("double").alias("label")])
+    data = M.assemble(stored_gold(spark, sf), NUMERIC, [F.col("Attack_label").cast("double").alias("label")])
     fitted = scaler.fit(data)
     cells = fitted.transform(data).select("label", vector_to_array("scaled_features").alias("x"))
     wide = cells.agg(*[
@@ -186,7 +186,7 @@ def fitted(spark, sf, kind):
     """``(cross-validated model, training set)``, fitted on the whole feature layer."""
     key = (spark.sparkContext.applicationId, sf, kind)
     if key not in _FITTED:
-        sets = M.training_set(gold(spark, sf), ["flow_key"], features=NUMERIC, seed=SEED)
+        sets = M.training_set(stored_gold(spark, sf), ["flow_key"], features=NUMERIC, seed=SEED)
         model = models.tune(sets.train, kind, grid=_SMALL[kind], folds=2, max_iter=50)
         sets.release()
         _FITTED[key] = (model, sets)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from flowlake.operators import quality as Q
 from flowlake.operators.features import FEATURE_NAMES
 from flowlake.plans.catalog import query
-from flowlake.plans.cleaning import gold
+from flowlake.plans.cleaning import stored_gold
 from flowlake.plans.sql import union, with_flows, with_gold
 from flowlake.sources.adapters import flows
 
@@ -134,7 +134,7 @@ def dq_report(spark, sf):
     f"{_count_if(f'{c} is null')} = 0 as passed from gold" for c in FEATURE_NAMES)
     + "\nunion all select 'absent_column', false, null, false"))
 def dq_gate(spark, sf):
-    return Q.gate(gold(spark, sf), [*FEATURE_NAMES, "absent_column"])
+    return Q.gate(stored_gold(spark, sf), [*FEATURE_NAMES, "absent_column"])
 
 
 _GAPS = " + ".join(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from flowlake.operators import explain as X
 from flowlake.operators import monitor, registry as R
 from flowlake.plans.catalog import query
-from flowlake.plans.cleaning import gold
+from flowlake.plans.cleaning import stored_gold
 from flowlake.plans.learning import _bayes, fitted
 from flowlake.plans.sql import with_clean, with_gold
 from flowlake.session import scratch_path
@@ -99,7 +99,7 @@ def run_metrics(spark, sf):
 select 'FINISHED' as status, 'NaiveBayes' as model_type, count(*)::double as n_rows, 0.5::double as last_loss from gold"""))
 def registry_roundtrip(spark, sf):
     root = scratch_path(spark, "registry")
-    n = gold(spark, sf).count()
+    n = stored_gold(spark, sf).count()
     R.log_run(spark, root, "naive_bayes_v1", "NaiveBayes", {"smoothing": 1.0}, {"n_rows": n, "log_loss": [0.9, 0.5]})
     log = R.read_registry(spark, root)
     wide = R.runs_wide(log["runs"], log["tags"], log["metrics"], metric_keys=["n_rows", "log_loss"])
@@ -126,14 +126,12 @@ def latest_rows(spark, sf):
 
 
 def _stored(spark, sf):
-    root = scratch_path(spark, "stored")
-    write_table(flows(spark, sf), f"{root}/silver")
-    write_table(gold(spark, sf), f"{root}/gold")
-    return {"Silver": f"{root}/silver", "Gold": f"{root}/gold", "Bronze": f"{root}/bronze"}
+    gold = stored_gold(spark, sf).inputFiles()[0].rsplit("/", 2)[0]
+    return {"Silver": f"{gold}/silver", "Gold": f"{gold}/gold", "Bronze": f"{gold}/bronze"}
 
 
 @query("layer_rows", with_gold("""
-select 'Silver' as layer, count(*) as "rows", 16 as "columns", true as "exists", true as has_size from flows
+select 'Silver' as layer, count(*) as "rows", 16 as "columns", true as "exists", true as has_size from gold
 union all select 'Gold', count(*), 21, true, true from gold
 union all select 'Bronze', null, null, false, false"""))
 def layer_rows(spark, sf):
@@ -147,7 +145,12 @@ def layer_stats(spark, sf):
 
 
 @query("layer_freshness", with_clean("""
-select 'Silver' as layer, count(*) > 0 as "exists", true as active from clean
-union all select 'Gold', true, true union all select 'Bronze', false, false"""))
+select 'Silver' as layer, count(*) > 0 as "exists", true as aged, true as active_if_fresh from clean
+union all select 'Gold', true, true, true union all select 'Bronze', false, false, true"""))
 def layer_freshness(spark, sf):
-    return monitor.layer_freshness(spark, _stored(spark, sf)).select("layer", "exists", "active")
+    fresh = monitor.layer_freshness(spark, _stored(spark, sf))
+    by_age = F.coalesce(F.col("age_sec") < monitor.ACTIVE_SECONDS, F.lit(False))
+    return fresh.select(
+        "layer", "exists", F.coalesce(F.col("age_sec") >= 0, F.lit(False)).alias("aged"),
+        (F.col("active") == by_age).alias("active_if_fresh"),
+    )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -50,30 +52,25 @@ def enrich(df: DataFrame, timestamp: Column, id_from: list[str] | None = None) -
     ))
 
 
-def guess_type(col: Column) -> Column:
-    """Text as variant: a number if it reads as one (double with a dot, else integer), else the text;
-    null for empty text."""
+def _literal(col: Column) -> Column:
+    """Text as a JSON literal: a number if it reads as one (double with a dot, else integer), else a
+    string; null for empty text."""
     text = F.nullif(col, F.lit(""))
-    dotted = text.contains(".")
-    return F.coalesce(
-        F.when(dotted, text.try_cast("double").cast("variant")),
-        F.when(~dotted, text.try_cast("long").cast("variant")),
-        text.cast("variant"),
+    number = F.when(text.contains("."), text.try_cast("double").cast("string")).otherwise(
+        text.try_cast("long").cast("string")
     )
+    listed = F.to_json(F.array(text))  # the text library's quoting, without its brackets
+    return F.coalesce(number, F.substring(listed, F.lit(2), F.length(listed) - 2))
 
 
 def _payload(df: DataFrame, guess: bool) -> Column:
     """JSON object of the non-empty fields."""
     if not guess:
         return F.to_json(F.struct(*[quoted(c).alias(c) for c in df.columns]))
-    entries = []
-    for field in df.schema.fields:
-        col = quoted(field.name)
-        text = isinstance(field.dataType, T.StringType)
-        if not text and not isinstance(field.dataType, T.NumericType):
-            col, text = col.cast("string"), True
-        entries += [F.lit(field.name), guess_type(col) if text else col.cast("variant")]
-    return F.to_json(F.map_filter(F.create_map(*entries), lambda _, v: v.isNotNull()))
+    fields = [
+        F.concat(F.lit(json.dumps(c) + ":"), _literal(quoted(c).cast("string"))) for c in df.columns
+    ]
+    return F.concat(F.lit("{"), F.concat_ws(",", *fields), F.lit("}"))
 
 
 def to_messages(df: DataFrame, key: str = "source_ip", guess: bool = False, keep: list[str] | None = None) -> DataFrame:
@@ -127,9 +124,13 @@ def envelope_schema(base: T.StructType, extra: list[str] | None = None) -> T.Str
 
 
 def parse_payload(df: DataFrame, schema: T.StructType, column: str = "json_payload") -> DataFrame:
-    """Replace the JSON text by its fields. A wrongly typed field is null; see ``unreadable``."""
+    """Replace the JSON text by its fields. A wrongly typed field is null; see ``unreadable``.
+
+    The fields come out of a generator, so each text is parsed once: filters on the fields stay above
+    it, where a projection would let them repeat the parse.
+    """
     others = [c for c in df.columns if c != column]
-    return df.select(F.from_json(column, schema).alias("_d"), *others).select("_d.*", *others)
+    return df.select(F.inline(F.array(F.from_json(column, schema))), *others)
 
 
 def unreadable(schema: T.StructType) -> Column:

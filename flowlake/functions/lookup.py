@@ -8,14 +8,19 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 100_000
 
 
-def join_checked(df: DataFrame, side: DataFrame, on: list[str], how: str = "left", limit: int = BROADCAST_ROWS) -> DataFrame:
+def join_checked(df: DataFrame, side: DataFrame, on: list[str], how: str = "left", limit: int = BROADCAST_ROWS,
+                 null_safe: bool = False) -> DataFrame:
     """Join ``side``, broadcasting it only after seeing that it has at most ``limit`` rows.
 
     Within the limit the rows are fetched once and become a local table, so the job behind ``side`` is
     not run again. Beyond it the join is left to the planner (shuffle join, adaptive skew handling).
+    ``null_safe`` lets null keys meet.
     """
     rows = side.take(limit + 1)
-    if len(rows) > limit:
+    if len(rows) <= limit:
+        side = F.broadcast(df.sparkSession.createDataFrame(rows, side.schema))
+    if not null_safe:
         return df.join(side, on, how)
-    local = df.sparkSession.createDataFrame(rows, side.schema)
-    return df.join(F.broadcast(local), on, how)
+    renamed = side.withColumnsRenamed({c: f"_side_{c}" for c in on})
+    same = [df[c].eqNullSafe(renamed[f"_side_{c}"]) for c in on]
+    return df.join(renamed, same, how).drop(*[f"_side_{c}" for c in on])

@@ -53,27 +53,31 @@ def running_totals(
     """Per group and in the order of ``order``: for each column of ``sums`` add ``<c>_before`` (sum of
     all earlier rows) and ``<c>_total`` (sum of the group).
 
-    ``order`` must be unique inside a group (aggregate first). A group may span any number of tasks.
+    ``order`` must be unique inside a group (aggregate first). A group may span any number of tasks;
+    null is a group like any other.
     """
-    ranged = _ranged(df, [*groups, *order], parts)
-    keys = ["_part", *groups]
+    # The group as text is never null, so the window and the join below can share it as a key.
+    group = F.to_json(F.struct(*groups)) if groups else F.lit("")
+    ranged = _ranged(df.withColumn("_group", group), ["_group", *order], parts)
+    keys = ["_part", "_group"]
     slices = ranged.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums])
-    whole = Window.partitionBy(*groups) if groups else Window.partitionBy(F.lit(0))
+    whole = Window.partitionBy("_group")
     earlier = whole.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    # At most groups + parts rows: a partition edge cuts one group in two.
     offsets = slices.select(
         *keys,
         *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"_{c}_off") for c in sums],
         *[F.sum(c).over(whole).alias(f"{c}_total") for c in sums],
     )
-    # The window and the join share the same keys: one shuffle serves both.
+    # Same keys again: if the planner does not broadcast the offsets, the shuffle of the window is reused.
     local = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     walked = ranged.drop("_index").select(
         "*", *[F.coalesce(F.sum(c).over(local), F.lit(0)).alias(f"_{c}_loc") for c in sums]
     )
-    joined = walked.join(offsets, keys)
-    for c in sums:
-        joined = joined.withColumn(f"{c}_before", F.col(f"_{c}_loc") + F.col(f"_{c}_off"))
-    return joined.drop("_part", *[f"_{c}_loc" for c in sums], *[f"_{c}_off" for c in sums])
+    before = {f"{c}_before": F.col(f"_{c}_loc") + F.col(f"_{c}_off") for c in sums}
+    return walked.join(offsets, keys).withColumns(before).drop(
+        *keys, *[f"_{c}_loc" for c in sums], *[f"_{c}_off" for c in sums]
+    )
 
 
 def exact_quantiles(

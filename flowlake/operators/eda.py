@@ -96,7 +96,7 @@ def histogram(df: DataFrame, columns: list[str], bins: int = 30, by: list[str] |
     ranges = cells.groupBy(*keys).agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
     width = (F.col("hi") - F.col("lo")) / F.lit(bins)
     place = F.floor(F.try_divide(F.col("value") - F.col("lo"), F.col("hi") - F.col("lo")) * bins)
-    binned = join_checked(cells, ranges, keys, "inner").select(
+    binned = join_checked(cells, ranges, keys, "inner", null_safe=True).select(
         *keys,
         F.least(F.coalesce(place, F.lit(0)), F.lit(bins - 1)).cast("int").alias("bin"),
         F.col("lo").alias("_lo"), width.alias("_width"),

@@ -92,7 +92,7 @@ def _exact_side(df, keys, label, ratio, seed, cells):
         F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"),
         "_n",
     ).withColumn("_take", F.greatest(F.least(F.col("_want") - F.col("_before"), F.col("_n")), F.lit(0)))
-    placed = join_checked(drawn, plan.select(label, "_cell", "_n", "_take"), [label, "_cell"], "inner")
+    placed = join_checked(drawn, plan.select(label, "_cell", "_n", "_take"), [label, "_cell"], "inner", null_safe=True)
     cut = (F.col("_take") > 0) & (F.col("_take") < F.col("_n"))
     whole = placed.filter(~cut).withColumn("_train", F.col("_take") > 0)
     # Copies of a key share a draw, and a hot key may fill the slice: a row number fixed on disk tells

@@ -59,8 +59,8 @@ def _literal(col: Column) -> Column:
     number = F.when(text.contains("."), text.try_cast("double").cast("string")).otherwise(
         text.try_cast("long").cast("string")
     )
-    listed = F.to_json(F.array(text))  # the text library's quoting, without its brackets
-    return F.coalesce(number, F.substring(listed, F.lit(2), F.length(listed) - 2))
+    listed = F.to_json(F.array(text))  # quoted and escaped; the brackets are cut off
+    return F.coalesce(number, F.when(text.isNotNull(), F.substring(listed, F.lit(2), F.length(listed) - 2)))
 
 
 def _payload(df: DataFrame, guess: bool) -> Column:

@@ -57,6 +57,15 @@ def test_quantile_of_single_value(spark):
     assert [tuple(r) for r in exact_quantiles(df, ["g"], "v", {"q": 0.25}).collect()] == [("a", 1, 3.0)]
 
 
+def test_null_groups_stay(spark):
+    df = spark.createDataFrame([(None, float(i), i) for i in range(10)] + [("a", 1.0, 99)], "g string, v double, i int")
+    got = {r["g"]: r["q"] for r in exact_quantiles(df, ["g"], "v", {"q": 0.5}).collect()}
+    assert got == {None: 4.5, "a": 1.0}
+    train, test = M.split_exact(df, ["i"], "g", 0.8, cells=4)
+    assert (train.count(), test.count()) == (8, 3)
+    assert E.histogram(df, ["v"], 2, by=["g"]).agg(F.sum("n")).first()[0] == 11
+
+
 def test_ordinal_batches(skewed):
     df, rows = skewed
     got = E.ordinal_batches(df, "g", ["i"], batches=7).collect()

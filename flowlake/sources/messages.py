@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowlake.functions.safe import quoted
+from flowlake.functions.columns import FLOATS
+from flowlake.functions.safe import is_infinite, quoted
 
 # Envelope fields, and where each is taken from when a record lacks it.
 ENVELOPE = ["flow_id", "source_ip", "dest_ip", "timestamp", "attack_type"]
@@ -52,25 +53,46 @@ def enrich(df: DataFrame, timestamp: Column, id_from: list[str] | None = None) -
     ))
 
 
-def _literal(col: Column) -> Column:
-    """Text as a JSON literal: a number if it reads as one (double with a dot, else integer), else a
-    string; null for empty text."""
-    text = F.nullif(col, F.lit(""))
-    number = F.when(text.contains("."), text.try_cast("double").cast("string")).otherwise(
+# What reads as a number, and what JSON text has to escape.
+NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+ESCAPED = r'["\\\x00-\x1f]'
+
+
+def _quote(text: Column) -> Column:
+    """Text as a JSON string; the full encoder runs only where something needs escaping."""
+    listed = F.to_json(F.array(text))
+    escaped = F.substring(listed, F.lit(2), F.length(listed) - 2)
+    return F.when(text.rlike(ESCAPED), escaped).when(text.isNotNull(), F.concat(F.lit('"'), text, F.lit('"')))
+
+
+def _guess(text: Column) -> Column:
+    """Text as a JSON literal: a number if it reads as one (double with a dot, else integer), else a string."""
+    # The pattern comes first: a failed cast of an address is far dearer than a failed match.
+    number = F.when(text.rlike(NUMBER), F.when(text.contains("."), text.try_cast("double").cast("string")).otherwise(
         text.try_cast("long").cast("string")
-    )
-    listed = F.to_json(F.array(text))  # quoted and escaped; the brackets are cut off
-    return F.coalesce(number, F.when(text.isNotNull(), F.substring(listed, F.lit(2), F.length(listed) - 2)))
+    ))
+    return F.coalesce(number, _quote(text))
 
 
 def _payload(df: DataFrame, guess: bool) -> Column:
     """JSON object of the non-empty fields."""
     if not guess:
         return F.to_json(F.struct(*[quoted(c).alias(c) for c in df.columns]))
-    fields = [
-        F.concat(F.lit(json.dumps(c) + ":"), _literal(quoted(c).cast("string"))) for c in df.columns
-    ]
-    return F.concat(F.lit("{"), F.concat_ws(",", *fields), F.lit("}"))
+    entries = []
+    for field in df.schema.fields:
+        col = quoted(field.name)
+        # Typed numbers are taken as they are; infinities and NaN are no JSON numbers and stay text.
+        plain = F.lit(isinstance(field.dataType, T.NumericType))
+        if isinstance(field.dataType, FLOATS):
+            plain = ~(F.isnan(col) | is_infinite(col))
+        entries.append(F.struct(
+            F.lit(json.dumps(field.name) + ":").alias("name"), F.nullif(col.cast("string"), F.lit("")).alias("text"),
+            plain.alias("plain"),
+        ))
+    # One lambda for all fields: spelling the literal out per field gives code too large to be compiled.
+    filled = F.filter(F.array(*entries), lambda e: e["text"].isNotNull())
+    members = F.transform(filled, lambda e: F.concat(e["name"], F.when(e["plain"], e["text"]).otherwise(_guess(e["text"]))))
+    return F.concat(F.lit("{"), F.array_join(members, ","), F.lit("}"))
 
 
 def to_messages(df: DataFrame, key: str = "source_ip", guess: bool = False, keep: list[str] | None = None) -> DataFrame:

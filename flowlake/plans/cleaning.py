@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,11 +34,15 @@ def stored_gold(spark, sf):
     Exploration, training and audits read this table, column by column, instead of cleaning again.
     """
     key = (spark.sparkContext.applicationId, sf)
-    if key not in _STORED:
-        root = scratch_path(spark, "medallion")
-        run_batch(flows(spark, sf), root)
-        _STORED[key] = f"{root}/gold"
-    return spark.read.parquet(_STORED[key])
+    if key in _STORED:
+        try:
+            return spark.read.parquet(_STORED[key])
+        except AnalysisException:  # the scratch area was cleared meanwhile
+            del _STORED[key]
+    root = scratch_path(spark, "medallion")
+    stored = run_batch(flows(spark, sf), root)
+    _STORED[key] = f"{root}/gold"
+    return stored
 
 
 def class_means(df):

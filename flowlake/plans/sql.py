@@ -1,4 +1,4 @@
-"""Reference SQL for the adapters: the same flow records, clean rows and features, as common table
+"""Equivalent SQL for the adapters: the same flow records, clean rows and features, as common table
 expressions for a plain SQL engine."""
 
 from __future__ import annotations

@@ -21,6 +21,9 @@ NO_ADDRESS = "0.0.0.0"
 NO_PORT = "0"
 NORMAL = "Normal"
 
+# Formats whose stream needs a schema.
+FILE_FORMATS = ["parquet", "orc", "json", "csv", "text"]
+
 
 def _first(df: DataFrame, names: list[str], default: str) -> Column:
     """First non-empty of the columns that exist, as text."""
@@ -126,12 +129,15 @@ def payloads(messages: DataFrame) -> DataFrame:
     )
 
 
-def table_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int | None = None) -> DataFrame:
-    """Stream the files of a Parquet table: its folder, or a glob of files."""
-    reader = spark.readStream.schema(schema)
+def table_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int | None = None,
+                 fmt: str = "parquet") -> DataFrame:
+    """Stream a table: the folder (or a glob) of a file format, or a table format that knows its own schema."""
+    reader = spark.readStream.format(fmt)
+    if fmt in FILE_FORMATS:
+        reader = reader.schema(schema)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(files_per_trigger))
-    return reader.parquet(path)
+    return reader.load(path)
 
 
 def envelope_schema(base: T.StructType, extra: list[str] | None = None) -> T.StructType:

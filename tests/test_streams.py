@@ -80,6 +80,25 @@ def test_layers_restart_and_dead_letters(spark):
     assert sorted((r["reason"], r["json_payload"]) for r in dead) == [("no key", '{"tcp.ack": 2.0}'), ("unreadable", "junk")]
 
 
+def test_continuous_layers(spark):
+    source, layout = scratch_path(spark, "t-in"), S.Layout(scratch_path(spark, "t-out"))
+    _write(spark, source, [(message("a"), at(0)), (message("a"), at(1)), ("junk", at(2))], 0)
+    stream = table_stream(spark, source, T.StructType.fromDDL(PAYLOAD))
+    queries = S.start_layers(spark, stream, SCHEMA, ["flow_id"], layout, every="1 second")
+    try:
+        queries[0].processAllAvailable()
+        _write(spark, source, [(message("b"), at(3))], 1)
+        for query in queries:
+            query.processAllAvailable()
+        assert all(q.exception() is None for q in queries)
+    finally:
+        for query in queries:
+            query.stop()
+    gold = spark.read.parquet(layout.table("gold"))
+    assert sorted(r["flow_id"] for r in gold.collect()) == ["a", "b"]
+    assert spark.read.parquet(layout.table("dead_letters")).count() == 1
+
+
 def test_stream_equals_batch(spark):
     rows = [(message(f"f{i % 70}", float(i % 70)), at(i)) for i in range(200)] + [("junk", at(1))]
     source, layout = scratch_path(spark, "t-in"), S.Layout(scratch_path(spark, "t-out"))

@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from flowlake.llm import mixing, ngram_join, packing, quality_rules, secret_scan
+from flowlake.llm import (fingerprint, language_id, mixing, ngram_join, packing, quality_rules, secret_scan, sharding, token_rollup,
+                          url_filter)
 from flowlake.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +20,12 @@ def tokenizer_path() -> str:
     return str(public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers as P
+    return token_rollup.rollup_report(read_table(spark, sf_dir, "documents"), {
+        "word_bpe_49k": (tokenizer_path(), None), "byte_bpe_50k": (str(P.path("byte_bpe_50k.tiktoken")), P.PATTERN)})
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(read_table(spark, sf_dir, "documents"))
 
@@ -26,6 +34,10 @@ def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar(read_table(spark, sf_dir, "documents"))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.language_report(read_table(spark, sf_dir, "documents"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_report(read_table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -34,17 +46,37 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan_report(read_table(spark, sf_dir, "documents"))
 
 
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_report(read_table(spark, sf_dir, "documents"))
+
+
+def op8_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.fingerprint_report(read_table(spark, sf_dir, "documents"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The labels of documents are taken as labels of the pages of the same number; low quality or toxic is bad.
+    labels = read_table(spark, sf_dir, "labels").select(
+        F.col("doc_id").alias("page_id"), ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad"))
+    return url_filter.judge(read_table(spark, sf_dir, "pages"), labels)
+
+
 def queries() -> dict[str, Query]:
     return {
+        "op1_token_counts": op1_token_counts,
         "op2_mixing": op2_mixing,
         "op3_ngram_join": op3_ngram_join,
+        "op4_language_id": op4_language_id,
         "op5_packing": op5_packing,
         "op6_secret_scan": op6_secret_scan,
+        "op7_sharding": op7_sharding,
+        "op8_fingerprint": op8_fingerprint,
         "op9_quality_rules": op9_quality_rules,
+        "op10_url_filter": op10_url_filter,
     }
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from flowlake.functions.safe import quoted
 
 FLOATS = (T.DoubleType, T.FloatType)
-NUMBERS = (T.DoubleType, T.FloatType, T.LongType, T.IntegerType, T.ShortType)
+NUMBERS = (T.DoubleType, T.FloatType, T.LongType, T.IntegerType, T.ShortType, T.ByteType, T.DecimalType)
 
 # Columns that never serve as model inputs.
 NON_FEATURES = [

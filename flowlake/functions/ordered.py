@@ -12,12 +12,13 @@ from pyspark.sql import functions as F
 
 from flowlake.session import materialise
 
+ROWS_PER_PART = 5_000_000
 _INDEX_BITS = 33  # monotonically_increasing_id(): partition number above, row index below
 
 
 def _ranged(df: DataFrame, order: list[str], parts: int | None) -> DataFrame:
     if parts is None:
-        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), df.count() // ROWS_PER_PART)
     laid_out = (
         df.repartitionByRange(parts, *order)
         .sortWithinPartitions(*order)
@@ -27,7 +28,7 @@ def _ranged(df: DataFrame, order: list[str], parts: int | None) -> DataFrame:
         materialise(laid_out, "ranged")
         .withColumn("_part", F.shiftright("_mid", _INDEX_BITS))
         .withColumn("_index", F.col("_mid").bitwiseAND(F.lit((1 << _INDEX_BITS) - 1)))
-        .drop("_mid")
+        .drop("_mid")  # an index beyond its bits would need a part of 2**33 rows
     )
 
 

@@ -80,9 +80,20 @@ def mask_outliers(df: DataFrame, columns: list[str], limit: float = 1e12) -> Dat
     return _project(df, {c: finite_or_null(quoted(c).cast("double"), limit) for c in columns})
 
 
-def dedup(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
-    """Distinct rows, or one row per key. Copies are folded map-side, so a hot row costs one per task."""
-    return df.dropDuplicates(keys) if keys else df.dropDuplicates()
+def dedup(df: DataFrame, keys: list[str] | None = None, order: list[str] | None = None) -> DataFrame:
+    """Distinct rows, or one row per key. Copies are folded map-side, so a hot row costs one per task.
+
+    Rows of one key that differ are settled by ``order``: the one with the greatest values there stays, ties by the whole
+    row, so the result does not depend on the layout. Without an order any of them may stay.
+    """
+    if not keys:
+        return df.dropDuplicates()
+    if not order:
+        return df.dropDuplicates(keys)
+    whole = F.struct(*[quoted(c) for c in df.columns])
+    best = df.groupBy(*[quoted(k) for k in keys]).agg(
+        F.max_by(whole, F.struct(*[quoted(c).alias(f"_{i}") for i, c in enumerate([*order, *df.columns])])).alias("_row"))
+    return best.select(*[F.col("_row").getField(c).alias(c) for c in df.columns])
 
 
 def clean(df: DataFrame, extra_drop: list[str] | None = None, keys: list[str] | None = None) -> DataFrame:

@@ -23,6 +23,11 @@ def latest_rows(df: DataFrame, ts: str, k: int = 20, tie: list[str] | None = Non
     return prioritised(newest, PRIORITY, width)
 
 
+def _absent(error: AnalysisException) -> bool:
+    """Whether the table is not there yet, or has no file; any other failure is one."""
+    return any(reason in str(error) for reason in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"))
+
+
 def _files(spark: SparkSession, path: str) -> DataFrame:
     """Name, size and time of all files under ``path``; their content is not read."""
     return (
@@ -35,7 +40,9 @@ def _layer(spark: SparkSession, name: str, path: str, fmt: str) -> DataFrame:
     frame = spark.range(1).select(F.lit(name).alias("layer"))
     try:
         table = read_table(spark, path, fmt)
-    except AnalysisException:
+    except AnalysisException as error:
+        if not _absent(error):
+            raise
         return frame.select(
             "layer", F.lit(None).cast("long").alias("rows"), F.lit(None).cast("int").alias("columns"),
             F.lit(0.0).alias("size_mb"), F.lit(False).alias("exists"),
@@ -63,13 +70,15 @@ def layer_freshness(spark: SparkSession, layers: dict[str, str], limit: int = AC
         try:
             newest = _files(spark, path).agg(F.max("modificationTime").alias("last_modified"))
             exists = True
-        except AnalysisException:
+        except AnalysisException as error:
+            if not _absent(error):
+                raise
             newest = spark.range(1).select(F.lit(None).cast("timestamp").alias("last_modified"))
             exists = False
         age = F.round(F.current_timestamp().cast("double") - F.col("last_modified").cast("double")).cast("long")
         row = newest.select(
             F.lit(name).alias("layer"), F.lit(exists).alias("exists"), "last_modified", age.alias("age_sec"),
-            F.coalesce(age < limit, F.lit(False)).alias("active"),
+            F.coalesce(age < limit, F.lit(False)).alias("active"), F.col("last_modified").isNotNull().alias("has_data"),
         )
         result = row if result is None else result.unionByName(row)
     return result

@@ -58,6 +58,7 @@ def read_registry(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     return {name: spark.read.schema(shape).parquet(f"{root}/{name}") for name, shape in shapes.items()}
 
 
+# What a model type or run name contains or begins with, per model key.
 def normalize_model(text: Column) -> Column:
     """Model key from a free-form type or run name; null if it fits none."""
     v = F.regexp_replace(F.lower(text), "[ _-]", "")
@@ -74,9 +75,13 @@ def runs_wide(runs: DataFrame, tags: DataFrame, metrics: DataFrame, tag_keys: li
               metric_keys: list[str] | None = None) -> DataFrame:
     """Finished runs with one column per tag and per metric (its last value by step, then by time).
 
+    Without ``metric_keys`` every metric that was logged gets a column (the compared ones always do).
     All three inputs are keyed by ``run_uuid``: one shuffle each, and the joins reuse it.
     """
-    tag_keys, metric_keys = tag_keys or TAG_KEYS, metric_keys or METRIC_KEYS
+    tag_keys = tag_keys or TAG_KEYS
+    if metric_keys is None:
+        logged = [r["key"] for r in metrics.select("key").distinct().orderBy("key").collect()]  # names, not runs
+        metric_keys = [*METRIC_KEYS, *[k for k in logged if k is not None and k not in METRIC_KEYS]]
     tag_cols = tags.filter(F.col("key").isin(tag_keys)).groupBy("run_uuid").agg(*[
         F.min(F.when(F.col("key") == k, F.col("value"))).alias(k.replace(".", "_")) for k in tag_keys
     ])

@@ -14,7 +14,7 @@ from flowlake.operators import clean as C
 from flowlake.operators.features import FEATURE_NAMES, add_features, feature_summary
 from flowlake.plans.catalog import query
 from flowlake.plans.medallion import run_batch
-from flowlake.plans.sql import FEATURES, FORMULAS, guard, union, with_clean, with_flows, with_gold, with_raw
+from flowlake.plans.sql import FEATURES, FORMULAS, NUMERIC, guard, union, with_clean, with_flows, with_gold, with_raw
 from flowlake.session import scratch_path
 from flowlake.sources import tables
 from flowlake.sources.adapters import event_records, flows, raw_flows, table
@@ -60,16 +60,18 @@ _MEANS = "select Attack_type, count(*) as n, " + ", ".join(
 
 @query("scan_csv", with_flows("""
 select Attack_type, count(*) as n, count(tcp_len) as n_len, count(source_ip) as n_source,
-  round(sum(tcp_seq), 2) as sum_seq, sum(case when isinf(tcp_ack) then 1 else 0 end)::bigint as n_inf
+  round(sum(tcp_seq), 2) as sum_seq, sum(case when isinf(tcp_ack) then 1 else 0 end)::bigint as n_inf,
+  sum(epoch_us(event_time) // 1000000)::bigint as sum_time
 from flows group by Attack_type"""))
 def scan_csv(spark, sf):
-    df = flows(spark, sf).drop("event_time")
+    df = flows(spark, sf)
     path = scratch_path(spark, "csv")
     tables.write_csv(df, path)
     back = tables.read_csv(spark, path, df.schema)
     return back.groupBy("Attack_type").agg(
         F.count(F.lit(1)).alias("n"), F.count("tcp_len").alias("n_len"), F.count("source_ip").alias("n_source"),
         F.round(F.sum("tcp_seq"), 2).alias("sum_seq"), F.count_if(C.is_infinite(F.col("tcp_ack"))).alias("n_inf"),
+        F.sum(F.unix_seconds("event_time")).alias("sum_time"),
     )
 
 
@@ -117,6 +119,9 @@ _WIRE_FIELDS = T.StructType([
     T.StructField("Attack_type", T.StringType()),
 ])
 
+# The id without the digest of the row at its end.
+_READABLE = F.regexp_replace("flow_id", "-[0-9a-f]{32}$", "")
+
 _ENRICHED = """
 enriched as (
   select *, coalesce(source_ip, arp_src, '0.0.0.0') as src, dest_ip as dst,
@@ -130,10 +135,18 @@ enriched as (
 select flow_key, src as source_ip, dst as dest_ip, Attack_type, fid as flow_id from enriched"""))
 def enrich_flows(spark, sf):
     return enrich(raw_flows(spark, sf), F.col("event_time")).select(
-        "flow_key", "source_ip", "dest_ip", "Attack_type", "flow_id"
+        "flow_key", "source_ip", "dest_ip", "Attack_type", _READABLE.alias("flow_id")
     )
 
 
+@query("flow_ids", with_raw("""
+select (select count(*) from raw) as messages, count(*) as ids from (select distinct * from raw)"""))
+def flow_ids(spark, sf):
+    """Only exact copies share an id."""
+    return enrich(raw_flows(spark, sf), F.col("event_time")).agg(
+        F.count(F.lit(1)).alias("messages"), F.count_distinct("flow_id").alias("ids"))
+
+
 @query("to_messages", with_raw("," + _ENRICHED + """
 select src as "key", flow_key, tcp_ack, tcp_seq, tcp_srcport, Attack_type, fid as flow_id, src as source_ip
 from enriched"""))
@@ -141,7 +154,7 @@ def messages(spark, sf):
     wire = to_messages(enrich(raw_flows(spark, sf), F.col("event_time")))
     schema = envelope_schema(_WIRE_FIELDS)
     back = parse_payload(wire, schema, "value").transform(sanitize_columns)
-    return back.select("key", "flow_key", "tcp_ack", "tcp_seq", "tcp_srcport", "Attack_type", "flow_id", "source_ip")
+    return back.select("key", "flow_key", "tcp_ack", "tcp_seq", "tcp_srcport", "Attack_type", _READABLE.alias("flow_id"), "source_ip")
 
 
 @query("guess_types", with_raw("""
@@ -272,11 +285,10 @@ def numeric_scrub(spark, sf):
 
 @query("feature_columns", with_gold(union(
     f"select '{c}' as column_name, count(*) as n, round(sum({c}), 2) as total from gold"
-    for c in ["tcp_flags", "tcp_len", "tcp_seq", "tcp_srcport", "conn_efficiency", "flow_intensity"])))
+    for c in ["flow_key", *NUMERIC])))
 def chosen_columns(spark, sf):
     df = stored_gold(spark, sf)
-    names = [c for c in feature_columns(df) if c in {
-        "tcp_flags", "tcp_len", "tcp_seq", "tcp_srcport", "conn_efficiency", "flow_intensity", "Attack_label"}]
+    names = feature_columns(df)
     wide = df.agg(F.count(F.lit(1)).alias("n"), *[F.round(F.sum(scrub(quoted(c))), 2).alias(c) for c in names])
     return wide.select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("column_name"), F.col("n"), F.col(c).alias("total")) for c in names

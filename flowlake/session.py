@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import re
 import uuid
 
 from pyspark.sql import SparkSession
@@ -35,14 +35,15 @@ def get_spark(app_name: str = "flowlake", extra: dict[str, str] | None = None) -
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path for an intermediate table, under the folder named by ``spark.checkpoint.dir``.
 
-    Every executor has to reach it, so a machine-local folder is accepted in local mode only.
+    Every executor has to reach it. Where it is unset, which is accepted in a single-process session only (tests), the
+    folder lies in the warehouse.
     """
     root = spark.conf.get(CHECKPOINT_DIR, None)
     if not root:
         master = spark.conf.get("spark.master", "local")
-        if not master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
             raise RuntimeError(f"{CHECKPOINT_DIR} must name a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="flowlake-")
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
         spark.conf.set(CHECKPOINT_DIR, root)
     return f"{root.rstrip('/')}/flowlake/{label}-{uuid.uuid4().hex}"
 

@@ -21,6 +21,13 @@ def flow_projection(lines: DataFrame) -> DataFrame:
     part, supp, line = F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber")
     null = F.lit(None)
     key = F.col("l_orderkey") * 10 + line
+    # The class follows the line number, the return flag and the quantity in part, and is arbitrary for one row in eight.
+    noise = F.conv(F.substring(F.md5(key.cast("string")), 1, 4), 16, 10).cast("int")
+    kind = (
+        F.when(noise % 8 == 0, noise.bitwiseAND(F.lit(1792)) / 256)
+        .when((F.col("l_returnflag") == "R") & (F.col("l_quantity") > 25), 7)
+        .when(part % 5 == 0, F.least(line + 2, F.lit(7))).otherwise(line)
+    )
     flows = lines.select(
         key.alias("flow_key"),
         F.col("l_shipdate").cast("timestamp").alias("event_time"),
@@ -41,9 +48,9 @@ def flow_projection(lines: DataFrame) -> DataFrame:
         F.when(part % 59 == 0, F.lit("n/a")).otherwise((part % 60000 + 1024).cast("string")).alias("tcp_srcport"),
         F.when(supp % 13 != 0, F.concat(F.lit("10.0.0."), (supp % 256).cast("string"))).alias("source_ip"),
         F.concat(F.lit("10.0.1."), line.cast("string")).alias("dest_ip"),
-        F.when(line <= 3, CLASSES[0]).when(line == 4, CLASSES[1]).when(line == 5, CLASSES[2])
-        .when(line == 6, CLASSES[3]).otherwise(CLASSES[4]).alias("Attack_type"),
-        F.when(line <= 3, 0).otherwise(1).alias("Attack_label"),
+        F.when(kind <= 3, CLASSES[0]).when(kind == 4, CLASSES[1]).when(kind == 5, CLASSES[2])
+        .when(kind == 6, CLASSES[3]).otherwise(CLASSES[4]).alias("Attack_type"),
+        F.when(kind <= 3, 0).otherwise(1).alias("Attack_label"),
     )
     copies = F.array_repeat(F.lit(1), F.when(F.col("flow_key") % 17 == 0, 2).otherwise(1))
     return flows.select("*", F.explode(copies).alias("_copy")).drop("_copy")

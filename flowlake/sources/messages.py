@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,8 +33,10 @@ def enrich(df: DataFrame, timestamp: Column, id_from: list[str] | None = None) -
     """Add the envelope fields a record lacks.
 
     ``timestamp`` is the event's own time, so that a replay yields the same ``flow_id``. By default the
-    id is ``source:port-target:port-timestamp``; ``id_from`` names other columns to build it from.
+    id is ``source:port-target:port-timestamp-digest``, readable and with a digest of all columns, so only exact
+    copies share it; ``id_from`` names the columns to build it from instead.
     """
+    every = df.columns
     # Names are compared without case: a table cannot hold both spellings of the label.
     label = next((c for c in df.columns if c.lower() == "attack_type"), "attack_type")
     df = df.withColumns({
@@ -48,54 +48,46 @@ def enrich(df: DataFrame, timestamp: Column, id_from: list[str] | None = None) -
     if "flow_id" in df.columns:
         return df
     if id_from:
-        parts = [F.coalesce(quoted(c).cast("string"), F.lit("")) for c in id_from]
-        return df.withColumn("flow_id", F.md5(F.concat_ws("|", *parts)))
+        return df.withColumn("flow_id", _row_digest(id_from))
     return df.withColumn("flow_id", F.concat(
         F.col("source_ip"), F.lit(":"), _first(df, SOURCE_PORT_FROM, NO_PORT), F.lit("-"),
         F.col("dest_ip"), F.lit(":"), _first(df, DEST_PORT_FROM, NO_PORT), F.lit("-"), F.col("timestamp"),
+        F.lit("-"), _row_digest(every),
     ))
 
 
-# What reads as a number, and what JSON text has to escape.
-NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
-ESCAPED = r'["\\\x00-\x1f]'
+def _row_digest(names: list[str]) -> Column:
+    """MD5 of the cells as JSON, where a null, an empty text and a separator inside a text all differ."""
+    cells = F.struct(*[quoted(c).cast("string").alias(f"c{i}") for i, c in enumerate(names)])
+    return F.md5(F.to_json(cells, {"ignoreNullFields": "false"}))
 
 
-def _quote(text: Column) -> Column:
-    """Text as a JSON string; the full encoder runs only where something needs escaping."""
-    listed = F.to_json(F.array(text))
-    escaped = F.substring(listed, F.lit(2), F.length(listed) - 2)
-    return F.when(text.rlike(ESCAPED), escaped).when(text.isNotNull(), F.concat(F.lit('"'), text, F.lit('"')))
+# What reads as a number.
+NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 
 
 def _guess(text: Column) -> Column:
-    """Text as a JSON literal: a number if it reads as one (double with a dot, else integer), else a string."""
+    """Text as a variant: a number if it reads as one (double with a dot, else integer) and is finite, else a string."""
     # The pattern comes first: a failed cast of an address is far dearer than a failed match.
-    number = F.when(text.rlike(NUMBER), F.when(text.contains("."), text.try_cast("double").cast("string")).otherwise(
-        text.try_cast("long").cast("string")
-    ))
-    return F.coalesce(number, _quote(text))
+    real = text.try_cast("double")
+    number = F.when(text.rlike(NUMBER) & text.contains("."), F.when(~is_infinite(real), real))
+    whole = F.when(text.rlike(NUMBER) & ~text.contains("."), text.try_cast("long"))
+    return F.coalesce(whole.cast("variant"), number.cast("variant"), text.cast("variant"))
 
 
 def _payload(df: DataFrame, guess: bool) -> Column:
     """JSON object of the non-empty fields."""
-    if not guess:
-        return F.to_json(F.struct(*[quoted(c).alias(c) for c in df.columns]))
-    entries = []
-    for field in df.schema.fields:
+    def member(field: T.StructField) -> Column:
         col = quoted(field.name)
-        # Typed numbers are taken as they are; infinities and NaN are no JSON numbers and stay text.
-        plain = F.lit(isinstance(field.dataType, T.NumericType))
-        if isinstance(field.dataType, FLOATS):
-            plain = ~(F.isnan(col) | is_infinite(col))
-        entries.append(F.struct(
-            F.lit(json.dumps(field.name) + ":").alias("name"), F.nullif(col.cast("string"), F.lit("")).alias("text"),
-            plain.alias("plain"),
-        ))
-    # One lambda for all fields: spelling the literal out per field gives code too large to be compiled.
-    filled = F.filter(F.array(*entries), lambda e: e["text"].isNotNull())
-    members = F.transform(filled, lambda e: F.concat(e["name"], F.when(e["plain"], e["text"]).otherwise(_guess(e["text"]))))
-    return F.concat(F.lit("{"), F.array_join(members, ","), F.lit("}"))
+        if not guess:
+            return col
+        if isinstance(field.dataType, FLOATS):  # infinities and NaN are no JSON numbers and become text
+            return F.when(F.isnan(col) | is_infinite(col), col.cast("string").cast("variant")).otherwise(col.cast("variant"))
+        if isinstance(field.dataType, T.NumericType):
+            return col
+        return _guess(F.nullif(col.cast("string"), F.lit("")))
+
+    return F.to_json(F.struct(*[member(f).alias(f.name) for f in df.schema.fields]))
 
 
 def to_messages(df: DataFrame, key: str = "source_ip", guess: bool = False, keep: list[str] | None = None) -> DataFrame:

@@ -12,11 +12,16 @@ from pyspark.sql import types as T
 DATE_PARTS = ["ingestion_year", "ingestion_month", "ingestion_day"]
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, sampling: float = 0.01) -> DataFrame:
-    """CSV with a header. Without a schema, types are inferred from a sample of the rows."""
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, sampling: float = 1.0) -> DataFrame:
+    """CSV with a header. Without a schema, types are inferred from all rows.
+
+    With a smaller ``sampling`` a later cell may not fit its column; reading then fails instead of making it null.
+    """
     reader = spark.read.option("header", "true")
     if schema is not None:
         return reader.schema(schema).csv(path)
+    if sampling < 1.0:
+        reader = reader.option("mode", "FAILFAST")
     return reader.option("inferSchema", "true").option("samplingRatio", str(sampling)).csv(path)
 
 
@@ -25,10 +30,10 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet", merge_schema: bool = False,
-               fallback: str | None = "parquet") -> DataFrame:
-    """Scan a table. If its format is not available here, its data files are read as ``fallback``.
+               fallback: str | None = None) -> DataFrame:
+    """Scan a table. If its format is not available here, that is an error, unless ``fallback`` names a file format.
 
-    The fallback ignores the table's own log, so it is right only for tables that were not rewritten.
+    A fallback reads all data files without the table's own log, so it is right only for tables that were never rewritten.
     """
     def load(kind):
         return spark.read.format(kind).option("mergeSchema", str(merge_schema).lower()).load(path)

@@ -18,10 +18,6 @@ from flowlake.sources.messages import envelope_schema, payloads, table_stream, t
 from flowlake.streaming import live as L
 from flowlake.streaming.layers import Layout, run_layers, start_sink
 
-# The feed's own clock spans a month that is read in one go, so no row may count as late.
-WHOLE_SPAN = "60 days"
-
-
 def _stream(spark, sf, name):
     # A glob, because a supplied table may be a folder or a single file and the source takes no file.
     return table_stream(spark, f"{sf}/{name}.parque[t]", table(spark, sf, name).schema)
@@ -80,7 +76,7 @@ def stream_gold(spark, sf):
 
 @query("stream_dedup", "select event_type as attack_type, count(*) as n, sum(event_id)::bigint as sum_id from events group by 1")
 def stream_dedup(spark, sf):
-    feed = L.feed_dedup(event_records(_stream(spark, sf, "events")), ["event_id"], "ts", WHOLE_SPAN)
+    feed = L.feed_dedup(event_records(_stream(spark, sf, "events")), ["event_id"], "ts")
     path = scratch_path(spark, "feed")
     start_sink(feed, path, f"{path}-checkpoint").awaitTermination()
     return spark.read.parquet(path).groupBy("attack_type").agg(
@@ -92,7 +88,7 @@ def stream_dedup(spark, sf):
 select count(*) as n from (select distinct ts, user_id % 250 from events)""")
 def stream_feed_dedup(spark, sf):
     feed = event_records(_stream(spark, sf, "events"))
-    kept = L.feed_dedup(feed, ["ts", "source_ip"], "ts", WHOLE_SPAN)
+    kept = L.feed_dedup(feed, ["ts", "source_ip"], "ts")
     path = scratch_path(spark, "feed")
     start_sink(kept, path, f"{path}-checkpoint").awaitTermination()
     return spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n"))
@@ -104,7 +100,7 @@ def stream_class_counts(spark, sf):
     path = scratch_path(spark, "counts")
     feed = event_records(_stream(spark, sf, "events"))
     L.start_class_counts(feed, "attack_type", path, f"{path}-checkpoint").awaitTermination()
-    return spark.read.parquet(path)
+    return L.read_latest(spark, path)
 
 
 @query("stream_recent", """
@@ -124,20 +120,27 @@ def tick_counts(spark, sf):
     return ticks.select(F.unix_seconds("tick").alias("tick"), "n")
 
 
+def _ticks(span: int, idle: bool = True) -> str:
+    return f"""
+with s as (select epoch_us(ts) // 1000000 as "second", count(*) as n from events group by 1),
+e as (select min("second") as first, max("second") as last from s),
+t as (select "second", sum(n)::bigint as n from (select "second" + i as "second", case when i = 0 then n else 0 end as n
+  from s, range({span if idle else 1}) r(i)), e where "second" <= last group by 1)
+select "second", n, (sum(n) over w)::bigint as window_count,
+  ((sum(n) over w) // least({span}, "second" - first + 1))::bigint as rate
+from t, e window w as (order by "second" range between {span - 1} preceding and current row)"""
+
+
 @query("rate_windows", """
-with s as (select epoch_us(ts) // 1000000 as "second", count(*) as n from events group by 1)
-select "second", n, (sum(n) over w)::bigint as window_count, ((sum(n) over w) // 60)::bigint as rate
-from s window w as (order by "second" range between 59 preceding and current row)""")
+""" + _ticks(60))
 def rate_windows(spark, sf):
     return L.message_rate(table(spark, sf, "events"), "ts")
 
 
 @query("rate_windows_hourly", """
-with s as (select epoch_us(ts) // 1000000 as "second", count(*) as n from events group by 1)
-select "second", n, (sum(n) over w)::bigint as window_count, ((sum(n) over w) // 3600)::bigint as rate
-from s window w as (order by "second" range between 3599 preceding and current row)""")
+""" + _ticks(3600, idle=False))
 def rate_windows_hourly(spark, sf):
-    return L.message_rate(table(spark, sf, "events"), "ts", span=3600, block=7200)
+    return L.message_rate(table(spark, sf, "events"), "ts", span=3600, block=7200, idle=False)
 
 
 @query("recent_k", """
@@ -147,10 +150,38 @@ def recent_k(spark, sf):
 
 
 @query("attack_pct", """
-select count(*) as messages, count(case when event_type <> 'view' then 1 end) as attacks,
-  round(count(case when event_type <> 'view' then 1 end) * 100.0::double / count(*), 1) as attack_pct from events""")
+with e as (select case when event_id % 7 <> 0 then event_type end as kind from events)
+select count(*) as messages, count(case when kind <> 'view' then 1 end) as attacks,
+  round(count(case when kind <> 'view' then 1 end) * 100.0::double / count(*), 1) as attack_pct from e""")
 def attack_pct(spark, sf):
-    return L.attack_share(table(spark, sf, "events"), "event_type", normal="view")
+    kinds = table(spark, sf, "events").select(F.when(F.col("event_id") % 7 != 0, F.col("event_type")).alias("kind"))
+    return L.attack_share(kinds, "kind", normal="view")
+
+
+@query("stream_accounting", """
+with e as (select event_id, case when event_id % 23 = 0 then 'unreadable' when event_id % 19 = 0 then 'no key' else 'ok' end as fate
+  from events)
+select count(*) + count(case when event_id % 10 = 0 then 1 end) as rows_in, count(case when fate = 'ok' then 1 end) as kept,
+  count(case when fate = 'ok' and event_id % 10 = 0 then 1 end) as copies,
+  count(case when fate = 'unreadable' then 1 end) + count(case when fate = 'unreadable' and event_id % 10 = 0 then 1 end) as unreadable,
+  count(case when fate = 'no key' then 1 end) + count(case when fate = 'no key' and event_id % 10 = 0 then 1 end) as no_key
+from e""")
+def stream_accounting(spark, sf):
+    """Every message ends in the clean layer, as a copy of one there, or among the dead letters; the feed's own clock
+    (out of order, so that some rows come a month late) is the arrival time here."""
+    feed = event_records(_stream(spark, sf, "events"))
+    number = F.col("event_id")
+    body = F.to_json(F.struct(F.when(number % 19 != 0, number.cast("string")).alias("flow_id"), F.col("attack_type").alias("attack_type")))
+    text = F.when(number % 23 == 0, F.concat(F.lit("<"), number.cast("string"))).otherwise(body)
+    payload = feed.select(text.alias("value"), F.col("ts").alias("timestamp"))
+    schema = envelope_schema(T.StructType([T.StructField("flow_id", T.StringType())]))
+    layout = Layout(scratch_path(spark, "accounting"))
+    run_layers(spark, payloads(payload), schema, ["flow_id"], layout, upto="silver")
+    count = lambda name, test="true": spark.read.parquet(layout.table(name)).agg(F.count_if(F.expr(test))).scalar()
+    bad = [count("dead_letters", f"reason = '{reason}'") for reason in ("unreadable", "no key")]
+    return spark.range(1).select(
+        count("bronze").alias("rows_in"), count("silver").alias("kept"),
+        (count("bronze") - count("silver") - bad[0] - bad[1]).alias("copies"), bad[0].alias("unreadable"), bad[1].alias("no_key"))
 
 
 @query("topic_totals", """

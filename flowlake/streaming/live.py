@@ -15,9 +15,13 @@ def class_counts(df: DataFrame, label: str) -> DataFrame:
 
 
 def start_class_counts(stream: DataFrame, label: str, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
-    """Keep the table of running counts at ``path`` current; each trigger replaces it."""
-    def replace(batch: DataFrame, _: int) -> None:
-        batch.coalesce(1).write.mode("overwrite").parquet(path)  # one row per class
+    """Keep the table of running counts current: one complete folder per batch under ``path``, see ``read_latest``."""
+    spark = stream.sparkSession
+
+    def replace(batch: DataFrame, number: int) -> None:
+        # Repartitioned, not coalesced: the counters stay spread over the state's tasks.
+        batch.repartition(1).write.mode("overwrite").parquet(f"{path}/batch={number}")  # one row per class
+        _forget(spark, path, number - 1)
 
     writer = (
         class_counts(stream, label).writeStream.outputMode("complete")
@@ -35,16 +39,25 @@ def tick_counts(df: DataFrame, ts: str, delay: str = "1 minute", tick: str = "1
     )
 
 
-def message_rate(df: DataFrame, ts: str, span: int = 60, block: int = 3600) -> DataFrame:
-    """For every second with a message: the integer mean of the last ``span`` per-second counts.
+def message_rate(df: DataFrame, ts: str, span: int = 60, block: int = 3600, idle: bool = True) -> DataFrame:
+    """The integer mean of the last ``span`` per-second counts, for every second that has a message and, with ``idle``,
+    every second less than ``span`` seconds after one (later the rate is 0 until the next message).
 
-    Rows are folded to seconds first. Time is then cut into blocks of ``block`` seconds that also get
-    the tail of the block before, so the running sum never needs all seconds in one task.
+    While fewer than ``span`` seconds have passed since the first message, the mean is over those. Rows are folded to
+    seconds first. Time is then cut into blocks of ``block`` seconds that also get the tail of the block before, so the
+    running sum never needs all seconds in one task.
     """
     second = F.unix_seconds(F.col(ts).cast("timestamp"))
-    ticks = df.select(second.alias("second")).filter("second is not null").groupBy("second").agg(
+    busy = df.select(second.alias("second")).filter("second is not null").groupBy("second").agg(
         F.count(F.lit(1)).alias("n")
     )
+    ends = busy.agg(F.min("second").alias("first"), F.max("second").alias("last"))
+    first, last = ends.select("first").scalar(), ends.select("last").scalar()
+    after = F.explode(F.sequence(F.lit(0), F.lit(span - 1 if idle else 0)))
+    ticks = busy.withColumn("_i", after).select(
+        (F.col("second") + F.col("_i")).alias("second"), F.when(F.col("_i") == 0, F.col("n")).otherwise(F.lit(0)).alias("n")
+    ).filter(F.col("second") <= last).groupBy("second").agg(F.sum("n").alias("n"))
+    passed = F.least(F.lit(span), F.col("second") - first + 1)
     own = F.floor(F.col("second") / block)
     later = F.floor((F.col("second") + span - 1) / block)
     spread = ticks.select("second", "n", F.explode(F.sequence(own, later)).alias("_block"))
@@ -52,7 +65,7 @@ def message_rate(df: DataFrame, ts: str, span: int = 60, block: int = 3600) -> D
     return (
         spread.withColumn("window_count", F.sum("n").over(recent))
         .filter(F.col("_block") == own)
-        .select("second", "n", "window_count", F.floor(F.col("window_count") / span).alias("rate"))
+        .select("second", "n", "window_count", F.floor(F.col("window_count") / passed).alias("rate"))
     )
 
 
@@ -75,31 +88,57 @@ def start_recent(stream: DataFrame, ts: str, path: str, checkpoint: str, k: int
         if number > 0:
             rows = spark.read.schema(batch.schema).parquet(f"{path}/batch={number - 1}").unionByName(batch)
         recent(rows, ts, k, tie).coalesce(1).write.mode("overwrite").parquet(f"{path}/batch={number}")
+        _forget(spark, path, number - 2)  # a retry still needs the folder before this one
 
     writer = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(merge)
     return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
 
 
-def read_recent(spark, path: str) -> DataFrame:
-    """The latest folder of ``start_recent``."""
-    batches = spark.read.parquet(path)
-    newest = batches.agg(F.max("batch")).scalar()
-    return batches.filter(F.col("batch") == newest).drop("batch")
+def _folder(spark, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def _forget(spark, path: str, number: int) -> None:
+    """Remove the folder of an older batch."""
+    files, where = _folder(spark, f"{path}/batch={number}")
+    if number >= 0 and files.exists(where):
+        files.delete(where, True)
+
+
+def read_latest(spark, path: str) -> DataFrame:
+    """The newest complete batch folder under ``path``; older ones are not opened."""
+    files, where = _folder(spark, path)
+    done = [
+        int(name.removeprefix("batch=")) for name in (f.getPath().getName() for f in files.listStatus(where))
+        if name.startswith("batch=") and files.exists(_folder(spark, f"{path}/{name}/_SUCCESS")[1])
+    ]
+    return spark.read.parquet(f"{path}/batch={max(done)}")
+
+
+read_recent = read_latest
 
 
 def attack_share(df: DataFrame, label: str, normal: str = "Normal") -> DataFrame:
-    """Messages, those of a non-normal class, and their share in percent with one digit."""
+    """Messages, those of a non-normal class, and their share in percent with one digit.
+
+    A message without a class counts as normal.
+    """
     counts = df.agg(
         F.count(F.lit(1)).alias("messages"),
-        F.count_if(~quoted(label).eqNullSafe(normal)).alias("attacks"),
+        F.count_if(F.coalesce(quoted(label), F.lit(normal)) != normal).alias("attacks"),
     )
     share = F.try_divide(F.col("attacks") * 100.0, F.col("messages").cast("double"))
     return counts.withColumn("attack_pct", F.coalesce(F.round(share, 1), F.lit(0.0)))
 
 
-def feed_dedup(df: DataFrame, keys: list[str], ts: str, delay: str = "1 day") -> DataFrame:
-    """One row per key: (time, source, target) for the feed, ``flow_id`` for flows."""
-    if not df.isStreaming:
+def feed_dedup(df: DataFrame, keys: list[str], ts: str, delay: str | None = None) -> DataFrame:
+    """One row per key: (time, source, target) for the feed, ``flow_id`` for flows.
+
+    Without ``delay`` every key is remembered and no row is late. A ``delay`` bounds the state; rows that come later than
+    that are lost, see ``dropped_late``.
+    """
+    if not df.isStreaming or delay is None:
         return df.dropDuplicates(keys)
     return df.withWatermark(ts, delay).dropDuplicatesWithinWatermark(keys)
 

@@ -46,14 +46,23 @@ def test_enrich_defaults(spark):
         "`ip.src_host` string, `arp.src.proto_ipv4` string, Attack_type string, `tcp.srcport` string",
     )
     rows = enrich(df, F.lit("t")).collect()
-    assert rows[0]["flow_id"] == "1.1.1.1:80-0.0.0.0:0-t" and rows[0]["Attack_type"] == "Normal"
-    assert rows[1]["flow_id"] == "2.2.2.2:0-0.0.0.0:0-t" and rows[1]["Attack_type"] == "MITM"
+    assert rows[0]["flow_id"].startswith("1.1.1.1:80-0.0.0.0:0-t-") and rows[0]["Attack_type"] == "Normal"
+    assert rows[1]["flow_id"].startswith("2.2.2.2:0-0.0.0.0:0-t-") and rows[1]["Attack_type"] == "MITM"
+
+
+def test_ids_differ_unless_rows_are_copies(spark):
+    rows = [("a|b", "c"), ("a", "b|c"), ("", None), (None, ""), (None, ""), ("a", "b|c")]
+    df = spark.createDataFrame(rows, "x string, y string")
+    for ids in (enrich(df, F.lit("t")), enrich(df, F.lit("t"), id_from=["x", "y"])):
+        assert ids.select("flow_id").distinct().count() == 4
 
 
 def test_guessed_types(spark):
     df = spark.createDataFrame([("7", "1.50", 'a "q"', "", None, "1.2.3.4")], "a string, b string, c string, d string, e string, f string")
     text = to_messages(df, key="a", guess=True).first()["value"]
     assert json.loads(text) == {"a": 7, "b": 1.5, "c": 'a "q"', "f": "1.2.3.4"}
+    odd = spark.createDataFrame([("1.0e999", float("inf"), "5", 2.5)], "a string, b double, c string, d double")
+    assert json.loads(to_messages(odd, key="c", guess=True).first()["value"]) == {"a": "1.0e999", "b": "Infinity", "c": 5, "d": 2.5}
 
 
 def _write(spark, path, rows, order):
@@ -121,6 +130,17 @@ def test_late_rows_are_counted(spark):
     assert L.dropped_late(query) == 1
 
 
+def test_no_row_is_late_by_default(spark):
+    source, layout = scratch_path(spark, "t-in"), S.Layout(scratch_path(spark, "t-out"))
+    shape = T.StructType.fromDDL(PAYLOAD)
+    batches = [[(message("a"), at(0)), (message("b"), at(900_000))], [(message("late"), at(10)), (message("a"), at(11)), ("junk", at(5))]]
+    for n, rows in enumerate(batches):
+        _write(spark, source, rows, n)
+        S.run_layers(spark, table_stream(spark, source, shape), SCHEMA, ["flow_id"], layout, upto="silver")
+    assert sorted(r["flow_id"] for r in spark.read.parquet(layout.table("silver")).collect()) == ["a", "b", "late"]
+    assert spark.read.parquet(layout.table("dead_letters")).count() == 1  # 5 rows in: 3 kept, 1 copy, 1 dead letter
+
+
 def test_recent_over_batches(spark):
     source, out = scratch_path(spark, "t-in"), scratch_path(spark, "t-out")
     shape = T.StructType.fromDDL("k long, ts timestamp")
@@ -141,12 +161,19 @@ def test_since_prunes_folders(spark):
     assert "PartitionFilters: [((ingestion_year" in plan or "PartitionFilters: [(((ingestion_year" in plan
 
 
+def test_csv_types_come_from_all_rows(spark):
+    path = scratch_path(spark, "t-csv")
+    tables.write_csv(spark.range(3000).select(F.when(F.col("id") == 2999, "text").otherwise(F.col("id").cast("string")).alias("v")).coalesce(1), path)
+    back = tables.read_csv(spark, path)
+    assert dict(back.dtypes)["v"] == "string" and back.filter("v is null").count() == 0
+
+
 def test_read_table_falls_back(spark):
     path = scratch_path(spark, "t-table")
     tables.write_table(spark.range(3).toDF("a"), path)
-    assert tables.read_table(spark, path, "delta").count() == 3
+    assert tables.read_table(spark, path, "delta", fallback="parquet").count() == 3
     with pytest.raises(Exception):
-        tables.read_table(spark, path, "delta", fallback=None)
+        tables.read_table(spark, path, "delta")
     assert tables.read_first(spark, [path + "-none", path]).count() == 3
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         tables.read_first(spark, [path + "-none"])

@@ -6,12 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowlake.functions.hashing import digest, draw
-from flowlake.functions.lookup import join_checked
 from flowlake.functions.ordered import exact_quantiles, with_ordinal
 from flowlake.functions.safe import finite_or_null, quoted, try_num
-from flowlake.operators.quality import frequency
-
-__all__ = ["frequency"]
 
 
 def top_k(df: DataFrame, column: str, k: int, exclude: str | None = None) -> DataFrame:
@@ -96,7 +92,11 @@ def histogram(df: DataFrame, columns: list[str], bins: int = 30, by: list[str] |
     ranges = cells.groupBy(*keys).agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
     width = (F.col("hi") - F.col("lo")) / F.lit(bins)
     place = F.floor(F.try_divide(F.col("value") - F.col("lo"), F.col("hi") - F.col("lo")) * bins)
-    binned = join_checked(cells, ranges, keys, "inner", null_safe=True).select(
+    found = ranges.withColumnsRenamed({k: f"_of_{k}" for k in keys})
+    if not by:
+        found = F.broadcast(found)  # one row per column
+    same = [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys]
+    binned = cells.join(found, same, "inner").select(
         *keys,
         F.least(F.coalesce(place, F.lit(0)), F.lit(bins - 1)).cast("int").alias("bin"),
         F.col("lo").alias("_lo"), width.alias("_width"),
@@ -160,7 +160,7 @@ def frequent_classes(df: DataFrame, column: str, at_least: int = 50) -> DataFram
     kept = (
         df.groupBy(column).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= at_least).select(column)
     )
-    return join_checked(df, kept, [column], "left_semi")
+    return df.join(kept, column, "left_semi")
 
 
 def box_statistics(df: DataFrame, by: str, columns: list[str], logged: list[str] | None = None, low: float = 0.02,

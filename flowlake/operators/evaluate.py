@@ -56,13 +56,14 @@ def _per_class(pairs: DataFrame) -> DataFrame:
 def per_class_metrics(scored: DataFrame, num_classes: int | None = None) -> DataFrame:
     """Precision, recall and F1 per class; 0 where a class has no rows on the deciding side.
 
-    With ``num_classes`` every class index below it is listed, also one that never occurs.
+    With ``num_classes`` every class index below it is listed, also one that never occurs; other labels that do
+    occur are listed as well.
     """
     found = _per_class(pair_counts(scored))
     if num_classes is None:
         return found
     grid = scored.sparkSession.range(num_classes).select(F.col("id").cast("double").alias("label"))
-    return grid.join(found, "label", "left").fillna(0)
+    return grid.join(found, "label", "full").fillna(0, [c for c in found.columns if c != "label"])
 
 
 def multiclass_metrics(scored: DataFrame) -> DataFrame:
@@ -91,36 +92,58 @@ def log_loss(scored: DataFrame, label: str = "label", probability: str = "probab
 
 
 def binary_confusion(scored: DataFrame) -> DataFrame:
-    """TP, TN, FP, FN and the four rates (null where the base is empty)."""
+    """TP, TN, FP, FN, rows that are neither (a label or prediction other than 0 and 1), and the four rates (null
+    where the base is empty)."""
     def cell(label, prediction):
         return F.count_if((F.col("label") == label) & (F.col("prediction") == prediction))
 
     cells = scored.agg(
-        cell(1, 1).alias("tp"), cell(0, 0).alias("tn"), cell(0, 1).alias("fp"), cell(1, 0).alias("fn")
+        cell(1, 1).alias("tp"), cell(0, 0).alias("tn"), cell(0, 1).alias("fp"), cell(1, 0).alias("fn"),
+        F.count(F.lit(1)).alias("_n"),
     )
     tp, tn, fp, fn = (F.col(c) for c in ["tp", "tn", "fp", "fn"])
     return cells.select(
-        "tp", "tn", "fp", "fn",
+        "tp", "tn", "fp", "fn", (F.col("_n") - tp - tn - fp - fn).alias("other"),
         F.try_divide(tp, tp + fn).alias("tpr"), F.try_divide(tn, tn + fp).alias("tnr"),
         F.try_divide(fp, fp + tn).alias("fpr"), F.try_divide(fn, fn + tp).alias("fnr"),
     )
 
 
 def confusion_matrix(scored: DataFrame, names: list[str]) -> DataFrame:
-    """Dense N x N table: one row per true class, a column per predicted class, the row total and the
-    share of hits. Pairs outside the known classes are not counted."""
+    """Dense N x N table: one row per true class, a column per predicted class, one for predictions outside the
+    known classes, the row total and the share of hits. Rows whose own label is outside (or null) are the row ``other``.
+    """
     k = len(names)
-    pairs = pair_counts(scored).filter(F.col("label").between(0, k - 1) & F.col("prediction").between(0, k - 1))
+    known = F.col("label").isin([float(i) for i in range(k)])
+    pairs = pair_counts(scored).withColumn("label", F.when(known, F.col("label").cast("double")).otherwise(F.lit(-1.0)))
+    inside = F.coalesce(F.col("prediction").isin([float(i) for i in range(k)]), F.lit(False))
     columns = [F.coalesce(F.sum(F.when(F.col("prediction") == j, F.col("n"))), F.lit(0)).alias(f"p{j}") for j in range(k)]
     diagonal = F.coalesce(F.sum(F.when(F.col("prediction") == F.col("label"), F.col("n"))), F.lit(0))
-    rows = pairs.groupBy("label").agg(*columns, F.sum("n").alias("row_total"), diagonal.alias("_hit"))
-    grid = scored.sparkSession.createDataFrame([(float(i), n) for i, n in enumerate(names)], "label double, label_name string")
+    outside = F.coalesce(F.sum(F.when(~inside, F.col("n"))), F.lit(0)).alias("p_other")
+    rows = pairs.groupBy("label").agg(*columns, outside, F.sum("n").alias("row_total"), diagonal.alias("_hit"))
+    grid = scored.sparkSession.createDataFrame(
+        [*((float(i), n) for i, n in enumerate(names)), (-1.0, "other")], "label double, label_name string")
+    # One row per class on either side.
     return (
-        grid.join(rows, "label", "left").fillna(0)
+        grid.join(F.broadcast(rows), "label", "left").fillna(0).filter("label >= 0 or row_total > 0")
         .withColumn("class_accuracy", _ratio(F.col("_hit"), F.col("row_total"))).drop("_hit")
     )
 
 
+def binary_metrics(scored: DataFrame, score: str = "probability", label: str = "label") -> DataFrame:
+    """One row for a scored 0/1 table: ``n``, the exact ``auc_roc``, and accuracy and the weighted F1, precision, recall.
+
+    ``score`` is a vector (the second entry counts, as in ``probability`` and ``rawPrediction``) or a number.
+    """
+    value = quoted(score)
+    if isinstance(scored.schema[score].dataType, VectorUDT):
+        value = F.get(vector_to_array(value), F.lit(1))
+    ranked = binary_auc(scored.select(quoted(label).alias("label"), value.alias("_score")), "label", ["_score"])
+    # Two one-row tables.
+    return multiclass_metrics(scored).withColumn("auc_roc", ranked.select("auc_roc").scalar()).select(
+        "n", "auc_roc", "accuracy", "f1_score", "precision", "recall")
+
+
 def majority_baseline(df: DataFrame, label: str) -> DataFrame:
     """The most frequent class and the accuracy of always predicting it."""
     counts = df.groupBy(quoted(label).cast("string").alias("name")).agg(F.count(F.lit(1)).alias("n"))

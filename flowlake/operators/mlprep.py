@@ -11,13 +11,8 @@ from pyspark.storagelevel import StorageLevel
 
 from flowlake.functions.columns import feature_columns, label_column
 from flowlake.functions.hashing import RESOLUTION, draw
-from flowlake.functions.lookup import join_checked
-from flowlake.functions.ordered import running_totals
+from flowlake.functions.ordered import with_ordinal
 from flowlake.functions.safe import quoted, scrub
-from flowlake.session import materialise
-
-MAX_CLASSES = 10_000
-
 
 def class_table(df: DataFrame, column: str) -> DataFrame:
     """One row per class: ``label`` (0 = most frequent, ties by name), ``name``, ``n`` and the balanced
@@ -25,13 +20,12 @@ def class_table(df: DataFrame, column: str) -> DataFrame:
     counts = df.filter(quoted(column).isNotNull()).groupBy(quoted(column).alias("name")).agg(
         F.count(F.lit(1)).alias("n")
     )
-    # Windows over one row per class.
-    rank = Window.orderBy(F.desc("n"), F.col("name"))
-    every = Window.partitionBy(F.lit(0))
-    share = F.sum("n").over(every) / (F.count(F.lit(1)).over(every) * F.col("n"))
-    return counts.select(
-        (F.row_number().over(rank) - 1).cast("double").alias("label"), "name", "n",
-        share.cast("double").alias("weight"),
+    # Ranked over tasks, so a column that turns out to have very many values is slow at worst.
+    ranked = with_ordinal(counts.withColumn("_down", -F.col("n")), ["_down", "name"], "_rank")
+    total, classes = counts.agg(F.sum("n")).scalar(), counts.agg(F.count(F.lit(1))).scalar()
+    return ranked.select(
+        F.col("_rank").cast("double").alias("label"), "name", "n",
+        (total / (classes * F.col("n"))).cast("double").alias("weight"),
     )
 
 
@@ -43,7 +37,7 @@ def class_weights(df: DataFrame, label: str = "label") -> DataFrame:
 def add_weights(df: DataFrame, weights: DataFrame, label: str = "label", name: str = "classWeight") -> DataFrame:
     """Attach the class weight; 1.0 for a class without one."""
     side = weights.select(label, F.col("weight").alias(name))
-    return join_checked(df, side, [label], "left").withColumn(name, F.coalesce(F.col(name), F.lit(1.0)))
+    return df.join(side, label, "left").withColumn(name, F.coalesce(F.col(name), F.lit(1.0)))
 
 
 def class_counts(df: DataFrame, label: str = "label") -> DataFrame:
@@ -70,39 +64,38 @@ def split_random(df: DataFrame, ratio: float = 0.8, seed: int = 42) -> tuple[Dat
 
 def split_exact(df: DataFrame, keys: list[str], label: str = "label", ratio: float = 0.8, seed: int = 42,
                 cells: int = 4096) -> tuple[DataFrame, DataFrame]:
-    """Stratified split with exactly ``floor(ratio * n)`` training rows per class.
+    """Stratified split by whole keys: per class the longest run of keys, in the order of their draws, that has at most
+    ``floor(ratio * n)`` rows.
 
-    Rows are ranked by their draw inside the class, but never as a whole class: a count per (class,
-    slice of the draw) tells which single slice holds the cut, and only that slice is ranked.
+    Copies of a key in a class are never parted, so a class has that many training rows, less at most the copies of one key; with
+    unique keys it is exact. The split depends on keys and seed only, not on the layout of files.
     """
     side = _exact_side(df, keys, label, ratio, seed, cells)
     return side.filter("_train").drop("_train"), side.filter("not _train").drop("_train")
 
 
 def _exact_side(df, keys, label, ratio, seed, cells):
-    number = draw([quoted(k) for k in keys], seed)
-    drawn = df.withColumns({"_draw": number, "_cell": F.floor(number / (RESOLUTION // cells))})
-    counts = drawn.groupBy(label, "_cell").agg(F.count(F.lit(1)).alias("_n"))
-    group = Window.partitionBy(label)
-    earlier = group.orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
-    # At most classes x cells rows.
-    plan = counts.select(
-        label, "_cell",
-        F.floor(F.sum("_n").over(group) * F.lit(ratio)).alias("_want"),
-        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"),
-        "_n",
-    ).withColumn("_take", F.greatest(F.least(F.col("_want") - F.col("_before"), F.col("_n")), F.lit(0)))
-    placed = join_checked(drawn, plan.select(label, "_cell", "_n", "_take"), [label, "_cell"], "inner", null_safe=True)
-    cut = (F.col("_take") > 0) & (F.col("_take") < F.col("_n"))
-    whole = placed.filter(~cut).withColumn("_train", F.col("_take") > 0)
-    # Copies of a key share a draw, and a hot key may fill the slice: a row number fixed on disk tells
-    # copies apart, so that ranking the slice spreads over tasks too.
-    numbered = materialise(placed.filter(cut).withColumns({
-        "_row": F.monotonically_increasing_id(), "_one": F.lit(1),
-    }), "split-cut")
-    ranked = running_totals(numbered, [label, "_cell"], ["_draw", "_row"], ["_one"])
-    ranked = ranked.withColumn("_train", F.col("_one_before") < F.col("_take"))
-    return whole.unionByName(ranked.select(whole.columns)).drop("_draw", "_cell", "_n", "_take")
+    """A class's cut is one number: the last draw that still trains. It is found without ranking a class: counts per
+    slice of the draw name the slice that holds the cut, and only that slice's draws are added up one by one."""
+    drawn = df.withColumn("_draw", draw([quoted(k) for k in keys], seed))
+    folded = drawn.groupBy(quoted(label).alias("_class"), "_draw").agg(F.count(F.lit(1)).alias("_n")).withColumn(
+        "_cell", F.floor(F.col("_draw") / (RESOLUTION // cells)))
+    group = Window.partitionBy("_class")
+    up_to = group.orderBy("_cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # At most classes x cells rows; one row per class is left.
+    slices = folded.groupBy("_class", "_cell").agg(F.sum("_n").alias("_in")).select(
+        "_class", "_cell", F.floor(F.sum("_in").over(group) * F.lit(ratio)).alias("_want"),
+        (F.sum("_in").over(up_to) - F.col("_in")).alias("_before"), F.sum("_in").over(up_to).alias("_through"))
+    cut = slices.filter("_through > _want").groupBy("_class", "_want").agg(
+        F.min(F.struct("_cell", "_before")).alias("_at")).select("_class", "_want", "_at.*")
+    inside = folded.join(cut.withColumnsRenamed({"_class": "_c", "_cell": "_cut"}),
+                         F.col("_class").eqNullSafe(F.col("_c")) & (F.col("_cell") == F.col("_cut")))
+    walk = group.orderBy("_draw").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    first_out = inside.withColumn("_sum", F.col("_before") + F.sum("_n").over(walk)).filter("_sum > _want").groupBy(
+        F.col("_class").alias("_c")).agg(F.min("_draw").alias("_limit"))
+    # One row per class.
+    placed = drawn.join(F.broadcast(first_out), drawn[label].eqNullSafe(F.col("_c")), "left")
+    return placed.withColumn("_train", F.coalesce(F.col("_draw") < F.col("_limit"), F.lit(True))).drop("_draw", "_c", "_limit")
 
 
 def overlap(train: DataFrame, test: DataFrame, keys: list[str]) -> DataFrame:
@@ -145,7 +138,7 @@ class Prepared:
 
 
 def prepare_multiclass(df: DataFrame, label: str | None = None, features: list[str] | None = None,
-                       keep: list[str] | None = None, weighted: bool = True) -> Prepared:
+                       keep: list[str] | None = None, weighted: bool = True, max_classes: int = 10_000) -> Prepared:
     """``features``, indexed ``label`` and ``classWeight``.
 
     Classes, their order and their weights come from one aggregate; labels that are null are left out,
@@ -153,10 +146,11 @@ def prepare_multiclass(df: DataFrame, label: str | None = None, features: list[s
     """
     label = label or label_column(df)
     names = features or [c for c in feature_columns(df) if c not in (keep or [])]
+    found = df.select(quoted(label)).filter(quoted(label).isNotNull()).distinct().count()
+    if found > max_classes:
+        raise ValueError(f"{label!r} has {found} distinct values, over max_classes={max_classes}; it is no class label")
     table = class_table(df, label)
-    rows = table.orderBy("label").take(MAX_CLASSES + 1)
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"{label!r} has more than {MAX_CLASSES} distinct values; it is no class label")
+    rows = table.orderBy("label").collect()  # one row per class, counted above
     classes = df.sparkSession.createDataFrame(rows, table.schema)
     labels = [r["name"] for r in rows]
     indexer = StringIndexerModel.from_labels(labels, label, "label", handleInvalid="error")

@@ -47,6 +47,7 @@ def per_class_metrics(spark, sf):
 @query("confusion_matrix", _SCORED + f"""
 select label, case label {' '.join(f"when {i} then '{n}'" for i, n in enumerate(CLASSES))} end as label_name,
   {', '.join(f'coalesce(sum(case when prediction = {j} then n end), 0)::bigint as p{j}' for j in range(5))},
+  coalesce(sum(case when prediction not in (0, 1, 2, 3, 4) then n end), 0)::bigint as p_other,
   sum(n)::bigint as row_total,
   round(coalesce(sum(case when prediction = label then n end), 0) / sum(n)::double, 6) as class_accuracy
 from hits group by label""")
@@ -56,6 +57,29 @@ def confusion_matrix(spark, sf):
     )
 
 
+_WILD = """with wild as (
+  select case when l_partkey % 41 = 0 then 9 else greatest(l_linenumber - 3, 0) end::double as label,
+    case when l_suppkey % 29 = 0 then 7 when l_suppkey % 31 = 0 then null else l_suppkey % 5 end::double as prediction from lineitem),
+hits as (select case when label < 5 then label else -1 end::double as label, prediction, count(*) as n from wild group by all)
+"""
+
+
+@query("confusion_other", _WILD + f"""
+select label, case label {' '.join(f"when {i} then '{n}'" for i, n in enumerate(CLASSES))} else 'other' end as label_name,
+  {', '.join(f'coalesce(sum(case when prediction = {j} then n end), 0)::bigint as p{j}' for j in range(5))},
+  coalesce(sum(case when prediction is null or prediction > 4 then n end), 0)::bigint as p_other, sum(n)::bigint as row_total,
+  round(coalesce(sum(case when prediction = label then n end), 0) / sum(n)::double, 6) as class_accuracy
+from hits group by label""")
+def confusion_other(spark, sf):
+    line = F.col("l_linenumber")
+    wild = table(spark, sf, "lineitem").select(
+        F.when(F.col("l_partkey") % 41 == 0, 9).otherwise(F.greatest(line - 3, F.lit(0))).cast("double").alias("label"),
+        F.when(F.col("l_suppkey") % 29 == 0, 7).when(F.col("l_suppkey") % 31 == 0, None)
+        .otherwise(F.col("l_suppkey") % 5).cast("double").alias("prediction"),
+    )
+    return V.confusion_matrix(wild, CLASSES).withColumn("class_accuracy", F.round("class_accuracy", 6))
+
+
 @query("log_loss", _SCORED + """
 select count(*) as n, round(avg(case when label = prediction then -ln(0.6::double) else -ln(0.1::double) end), 6) as log_loss
 from scored""")
@@ -67,14 +91,14 @@ def log_loss(spark, sf):
 with c as (select count(case when quality = 1 and toxic = 1 then 1 end) as tp,
   count(case when quality = 0 and toxic = 0 then 1 end) as tn, count(case when quality = 0 and toxic = 1 then 1 end) as fp,
   count(case when quality = 1 and toxic = 0 then 1 end) as fn from labels)
-select tp, tn, fp, fn, round(tp / nullif(tp + fn, 0)::double, 6) as tpr, round(tn / nullif(tn + fp, 0)::double, 6) as tnr,
+select tp, tn, fp, fn, 0::bigint as other, round(tp / nullif(tp + fn, 0)::double, 6) as tpr, round(tn / nullif(tn + fp, 0)::double, 6) as tnr,
   round(fp / nullif(fp + tn, 0)::double, 6) as fpr, round(fn / nullif(fn + tp, 0)::double, 6) as fnr from c""")
 def confusion_binary(spark, sf):
     scored = table(spark, sf, "labels").select(
         F.col("quality").cast("double").alias("label"), F.col("toxic").cast("double").alias("prediction")
     )
     result = V.binary_confusion(scored)
-    return result.select("tp", "tn", "fp", "fn", *[F.round(c, 6).alias(c) for c in ["tpr", "tnr", "fpr", "fnr"]])
+    return result.select("tp", "tn", "fp", "fn", "other", *[F.round(c, 6).alias(c) for c in ["tpr", "tnr", "fpr", "fnr"]])
 
 
 def _auc_cells(source: str, label: str, columns: dict[str, str]) -> str:
@@ -130,11 +154,16 @@ def majority_baseline(spark, sf):
     )
 
 
-_NAMES = ["flow_key", "tcp_ack", "tcp_len", "source_ip", "Attack_type", "Attack_label"]
+_NAMES = [
+    "flow_key", "event_time", "frame_time", "tcp_ack", "tcp_seq", "tcp_len", "tcp_flags", "tcp_checksum",
+    "tcp_connection_syn", "tcp_connection_fin", "tcp_connection_rst", "tcp_srcport", "source_ip", "dest_ip",
+    "Attack_type", "Attack_label",
+]
 
 
 @query("suspicious_columns", with_flows(union(
     f"select '{c}' as column_name, count({c}) as filled, {str(c.startswith('Attack')).lower()} as suspicious from flows"
     for c in _NAMES)))
 def suspicious_columns(spark, sf):
-    return V.suspicious_columns(flows(spark, sf), _NAMES)
+    df = flows(spark, sf)
+    return V.suspicious_columns(df, df.columns)

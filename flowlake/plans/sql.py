@@ -40,11 +40,13 @@ f as (
     case when l_suppkey % 13 = 0 then cast(null as varchar)
          else concat('10.0.0.', cast(l_suppkey % 256 as varchar)) end as source_ip,
     concat('10.0.1.', cast(l_linenumber as varchar)) as dest_ip,
-    case when l_linenumber <= 3 then 'Normal' when l_linenumber = 4 then 'DDoS_UDP'
-         when l_linenumber = 5 then 'Port_Scanning' when l_linenumber = 6 then 'Ransomware'
+    case when kind <= 3 then 'Normal' when kind = 4 then 'DDoS_UDP'
+         when kind = 5 then 'Port_Scanning' when kind = 6 then 'Ransomware'
          else 'MITM' end as Attack_type,
-    case when l_linenumber <= 3 then 0 else 1 end as Attack_label
-  from lineitem
+    case when kind <= 3 then 0 else 1 end as Attack_label
+  from (select *, case when noise % 8 = 0 then (noise & 1792) // 256 when l_returnflag = 'R' and l_quantity > 25 then 7
+          when l_partkey % 5 = 0 then least(l_linenumber + 2, 7) else l_linenumber end as kind
+        from (select *, ('0x' || substr(md5(cast(l_orderkey * 10 + l_linenumber as varchar)), 1, 4))::integer as noise from lineitem))
 ),
 flows as (select * from f union all select * from f where flow_key % 17 = 0)
 """

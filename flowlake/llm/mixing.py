@@ -26,7 +26,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowlake.llm.common import materialise, n_words_of, running_start
+from flowlake.llm.common import materialise, n_words_of, packed, running_start, unpacked
 
 WEIGHTS = [5.0, 2.0, 1.0]
 MOST = 3
@@ -167,14 +167,10 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
     """
     sized = _sized(docs)
     taken = mix(sized, source_targets(sized), **options)
-    copies = taken.filter("size > 0").select(
-        F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"),
-        F.round(F.col("taken") / F.col("size")).cast("int").alias("_copies"))
-    copies = copies.groupBy("_id", "_source", "_size").agg(F.max("_copies").alias("_copies"))
-    size = n_words_of(docs["text"])
-    rows = docs.withColumn("_n", size) if "_n" not in docs.columns else docs.withColumn("_n_of_text", size)
-    name = rows.columns[-1]
-    joined = rows.join(copies, rows["doc_id"].eqNullSafe(copies["_id"]) & rows["source"].cast("string").eqNullSafe(copies["_source"])
-                       & (rows[name] == copies["_size"]), "left")
-    times = F.when(F.col(name) == 0, F.lit(1)).otherwise(F.coalesce("_copies", F.lit(0)))
-    return joined.filter(times > 0).withColumn("_copy", F.explode(F.sequence(F.lit(1), times))).select(*[rows[c] for c in docs.columns])
+    copies = taken.filter("size > 0").groupBy("doc_id", "source", "size").agg(
+        F.max(F.round(F.col("taken") / F.col("size"))).cast("int").alias("copies")).toDF("_id", "_source", "_size", "copies")
+    rows = packed(docs).withColumn("size", n_words_of(F.col("row.text")))
+    joined = rows.join(copies, F.col("row.doc_id").eqNullSafe(F.col("_id")) & F.col("row.source").cast("string").eqNullSafe(F.col("_source"))
+                       & (F.col("size") == F.col("_size")), "left")
+    times = F.when(F.col("size") == 0, F.lit(1)).otherwise(F.coalesce("copies", F.lit(0)))
+    return unpacked(joined.filter(times > 0).withColumn("copy", F.explode(F.sequence(F.lit(1), times))), docs)

@@ -12,7 +12,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
 
 __all__ = ["WORD", "SPACE", "text_of", "words_of", "n_words_of", "packed", "unpacked", "materialise", "read_table",
-           "components", "running_start", "shuffle_parts"]
+           "components", "running_start", "shuffle_parts", "Remembered"]
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,6 +47,27 @@ def shuffle_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+class Remembered(dict):
+    """Values made once per key and kept in two generations of ``limit`` keys; keys in use move to the younger one."""
+
+    def __init__(self, make, limit: int = 300_000):
+        super().__init__()
+        self.make, self.limit, self.old = make, limit, {}
+
+    def __missing__(self, key):
+        value = self.old.pop(key, None)
+        if value is None:
+            value = self.make(key)
+        self.keep(key, value)
+        return value
+
+    def keep(self, key, value) -> None:
+        if len(self) >= self.limit:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of ``edges`` (``a``, ``b``): one row (``node``, ``root``) per node, root = smallest node.
 

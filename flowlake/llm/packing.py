@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowlake.llm.common import materialise
+from flowlake.llm.common import Remembered, materialise
 
 ROOM = 4096
 SEPARATOR = 1
@@ -42,41 +42,29 @@ _CHUNK = re.compile(r"[^ \n]+").findall
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)").fullmatch
 
 
-class _Encoder(dict):
-    """Ids of a stretch without blanks, as little-endian bytes, remembered up to ``limit`` stretches.
+class _Encoder:
+    """Ids of texts as little-endian bytes, put together from remembered stretches without blanks.
 
     Encoding is exact stretch by stretch because this kind of tokenizer drops white space and never joins across it. A
     plain word with closing marks is encoded as the word and the marks, which its pre-tokenizer parts as well.
     """
 
-    limit = 300_000
-
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.words: dict[str, bytes] = {}
+        self.stretches, self.words = Remembered(self._stretch), Remembered(self._ids)
 
     def _ids(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _word(self, text: str) -> bytes:
-        found = self.words.get(text)
-        if found is None:
-            if len(self.words) >= self.limit:
-                self.words.clear()
-            found = self.words[text] = self._ids(text)
-        return found
-
-    def __missing__(self, text: str) -> bytes:
-        if len(self) >= self.limit:
-            self.clear()
+    def _stretch(self, text: str) -> bytes:
         plain = _PLAIN(text)
-        self[text] = value = (
-            self._word(plain[1].lower()) + (self._word(plain[2]) if plain[2] else b"") if plain else self._ids(text))
-        return value
+        if not plain:
+            return self._ids(text)
+        return self.words[plain[1].lower()] + (self.words[plain[2]] if plain[2] else b"")
 
     def text_ids(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, _CHUNK(text)))
+        return b"".join(map(self.stretches.__getitem__, _CHUNK(text)))
 
 
 @functools.cache

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlake.llm.common import materialise, text_of
+from flowlake.llm.common import Remembered, materialise, text_of
 from flowlake.llm.packing import _encoder
 from flowlake.session import scratch_path
 
@@ -34,31 +34,27 @@ _STRETCH = re.compile(r" ?[^\s]+|\s+(?!\S)|\s+").findall
 _ODD_BLANKS = re.compile("[\x1c-\x1f\x85]").search
 
 
-class _RankCounts(dict):
-    """Token count of a stretch of text under a byte-level vocabulary, remembered up to ``limit`` stretches.
+class _RankCounts:
+    """Token counts of texts under a byte-level vocabulary, added up from remembered stretches.
 
     The stretches are unions of the vocabulary's own pre-tokens (a word with the blank before it, or a run of white space), so
     counts add up exactly. Where Python's idea of white space is another one, the text is encoded as a whole.
     """
 
-    limit = 300_000
-
     def __init__(self, path: str, pattern: str):
         import tiktoken
         with open(path, "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.encoding = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        self.stretches = Remembered(self._count)
 
-    def __missing__(self, stretch: str) -> int:
-        if len(self) >= self.limit:
-            self.clear()
-        self[stretch] = n = len(self.encoding.encode_ordinary(stretch))
-        return n
+    def _count(self, text: str) -> int:
+        return len(self.encoding.encode_ordinary(text))
 
     def of(self, text: str) -> int:
         if _ODD_BLANKS(text):
-            return len(self.encoding.encode_ordinary(text))
-        return sum(map(self.__getitem__, _STRETCH(text)))
+            return self._count(text)
+        return sum(map(self.stretches.__getitem__, _STRETCH(text)))
 
 
 @functools.cache

@@ -80,5 +80,22 @@ def queries() -> dict[str, Query]:
     }
 
 
+_JOIN_SQL = r"""
+with recursive w as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') as ws from documents),
+s as (select doc_id, case when len(ws) = 0 then [] else list_sort(list_distinct(list_transform(range(1, greatest(len(ws) - 4, 1) + 1),
+    lambda i: array_to_string(ws[i:i + 4], ' ')))) end as grams from w),
+g as (select doc_id, len(grams) as n, unnest(grams) as gram from s),
+pairs as (select a.doc_id as a, b.doc_id as b from g a join g b on a.gram = b.gram and a.doc_id < b.doc_id
+  group by 1, 2 having 100 * count(*) >= 75 * (any_value(a.n) + any_value(b.n) - count(*))),
+links as (select a, b from pairs union all select b, a from pairs),
+reach as (select doc_id, doc_id as other from documents union select r.doc_id, l.b from reach r join links l on r.other = l.a),
+roots as (select doc_id, min(other) as component_id from reach group by 1)
+select doc_id, len(grams)::bigint as n_shingles, component_id,
+  case when len(grams) = 0 then doc_id else min(doc_id) over (partition by grams) end as set_id
+from s join roots using (doc_id)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_ngram_join": _JOIN_SQL}

@@ -119,8 +119,10 @@ _WIRE_FIELDS = T.StructType([
     T.StructField("Attack_type", T.StringType()),
 ])
 
-# The id without the digest of the row at its end.
-_READABLE = F.regexp_replace("flow_id", "-[0-9a-f]{32}$", "")
+def _readable():
+    """The id without the digest of the row at its end."""
+    return F.regexp_replace("flow_id", "-[0-9a-f]{32}$", "")
+
 
 _ENRICHED = """
 enriched as (
@@ -135,7 +137,7 @@ enriched as (
 select flow_key, src as source_ip, dst as dest_ip, Attack_type, fid as flow_id from enriched"""))
 def enrich_flows(spark, sf):
     return enrich(raw_flows(spark, sf), F.col("event_time")).select(
-        "flow_key", "source_ip", "dest_ip", "Attack_type", _READABLE.alias("flow_id")
+        "flow_key", "source_ip", "dest_ip", "Attack_type", _readable().alias("flow_id")
     )
 
 
@@ -154,7 +156,7 @@ def messages(spark, sf):
     wire = to_messages(enrich(raw_flows(spark, sf), F.col("event_time")))
     schema = envelope_schema(_WIRE_FIELDS)
     back = parse_payload(wire, schema, "value").transform(sanitize_columns)
-    return back.select("key", "flow_key", "tcp_ack", "tcp_seq", "tcp_srcport", "Attack_type", _READABLE.alias("flow_id"), "source_ip")
+    return back.select("key", "flow_key", "tcp_ack", "tcp_seq", "tcp_srcport", "Attack_type", _readable().alias("flow_id"), "source_ip")
 
 
 @query("guess_types", with_raw("""

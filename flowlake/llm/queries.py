@@ -22,7 +22,7 @@ def tokenizer_path() -> str:
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers as P
-    return token_rollup.rollup_report(read_table(spark, sf_dir, "documents"), {
+    return token_rollup.corpus_report(read_table(spark, sf_dir, "documents"), {
         "word_bpe_49k": (tokenizer_path(), None), "byte_bpe_50k": (str(P.path("byte_bpe_50k.tiktoken")), P.PATTERN)})
 
 

@@ -168,26 +168,47 @@ class Rollup:
             self._files().delete(self._hadoop(f"{self.path}/deltas/{n}"), True)
 
 
-def rollup_report(docs: DataFrame, tokenizers: dict[str, tuple[str, str | None]], room: int = 4096) -> DataFrame:
-    """Totals after the life of a corpus: every document comes under every version, copies of an earlier document go, and
-    documents longer than ``room`` are cut to it (their counts are revised). Every batch is sent twice; it counts once.
+def _life(docs: DataFrame, tokenizers: dict[str, tuple[str, str | None]], room: int) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    """Batches that curate a corpus, and those that take it back: every document comes under every version, copies of an
+    earlier document go, documents longer than ``room`` are cut to it; then whole texts count again and the copies return.
     """
-    spark = docs.sparkSession
     counts = materialise(token_counts(docs, tokenizers), "token-counts")
     firsts = counts.groupBy("text_hash").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("times")).filter("times > 1")
     firsts = materialise(firsts.select("text_hash", "first"), "firsts")
     copies = materialise(counts.join(firsts, "text_hash").filter("doc_id > first").select(*counts.columns), "copies")
     gone = F.coalesce(F.col("doc_id") > F.col("first"), F.lit(False))
-    left = counts.join(firsts, "text_hash", "left").filter(~gone).select(*counts.columns)
-    rollup = Rollup(spark, scratch_path(spark, "rollup"))
-    union = lambda frames: functools.reduce(DataFrame.union, frames)
     names = list(enumerate(tokenizers))
-    steps = {
+    too_long = functools.reduce(lambda a, b: a | b, [F.col(f"n{i}") > room for i, _ in names])
+    left = counts.filter(too_long).join(firsts, "text_hash", "left").filter(~gone)
+    left = materialise(left.select(*counts.columns), "long")
+    union = lambda frames: functools.reduce(DataFrame.union, frames)
+    curated = {
         "load": union([changes(counts, v, f"n{i}", 1) for i, v in names]),
         "copies": union([changes(copies, v, f"n{i}", -1) for i, v in names]),
         "cut": union([revised(left.filter(F.col(f"n{i}") > room), v, f"n{i}", str(room)) for i, v in names]),
     }
+    back = {
+        "whole": union([revised(left.filter(F.col(f"n{i}") > room), v, str(room), f"n{i}") for i, v in names]),
+        "returned": union([changes(copies, v, f"n{i}", 1) for i, v in names]),
+    }
+    return curated, back
+
+
+def _after(spark: SparkSession, steps: dict[str, DataFrame]) -> DataFrame:
+    """Totals after the batches. Every one is sent twice; it counts once."""
+    rollup = Rollup(spark, scratch_path(spark, "rollup"))
     for batch in (*steps, *steps):
         rollup.apply(batch, steps[batch])
     rollup.compact()
     return rollup.totals()
+
+
+def rollup_report(docs: DataFrame, tokenizers: dict[str, tuple[str, str | None]], room: int = 4096) -> DataFrame:
+    """Totals of the curated corpus: without copies of an earlier document, and with at most ``room`` tokens of each."""
+    return _after(docs.sparkSession, _life(docs, tokenizers, room)[0])
+
+
+def corpus_report(docs: DataFrame, tokenizers: dict[str, tuple[str, str | None]], room: int = 4096) -> DataFrame:
+    """Totals of all rows and whole texts, after a life in which the corpus was curated and then taken back to what it is."""
+    curated, back = _life(docs, tokenizers, room)
+    return _after(docs.sparkSession, curated | back)

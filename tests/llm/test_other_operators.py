@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from flowlake.llm import fingerprint, language_id, sharding, token_rollup, url_filter
+from flowlake.llm import fingerprint, language_id, queries, sharding, token_rollup, url_filter
 from flowlake.llm.queries import tokenizer_path
 from flowlake.session import scratch_path
 from odd import ROWS, clashing, documents
@@ -63,6 +63,19 @@ def test_rollup_of_a_corpus(spark):
     assert token_rollup.rollup_report(documents(spark, []), vocabularies()).count() == 0
 
 
+def test_corpus_totals_are_whole(spark, monkeypatch):
+    """What op1_token_counts returns: sums over all rows and whole texts, copies and long documents included."""
+    monkeypatch.setattr(queries, "read_table", lambda spark, sf_dir, name: clashing(spark))
+    got = {(r["source"], r["lang"], r["version"]): (r["docs"], r["tokens"]) for r in queries.op1_token_counts(spark, "").collect()}
+    want = defaultdict(lambda: [0, 0])
+    for version, count in zip(("word_bpe_49k", "byte_bpe_50k"), counters().values()):
+        for _, text, lang, source in ROWS:
+            want[(source, lang, version)][0] += 1
+            want[(source, lang, version)][1] += count(text or "")
+    assert got == {k: tuple(v) for k, v in want.items()}
+    assert max(tokens for _, tokens in got.values()) > 60_000
+
+
 def test_rollup_commits_once(spark):
     rollup = token_rollup.Rollup(spark, scratch_path(spark, "t-rollup"))
     shape = "source string, lang string, version string, tokens long, sign int"

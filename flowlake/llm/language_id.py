@@ -3,7 +3,7 @@
 A text is lower-cased and seen as its UTF-8 bytes with everything but letters as blanks; runs of 1 to ``GRAM`` bytes
 are hashed into ``BUCKETS`` rows of an embedding table. The mean of a text's rows is its vector; a linear softmax on
 it gives the languages. Both layers are trained by stochastic gradient descent in numpy, on at most ``TRAIN_ROWS`` labelled
-documents (a documented bound: the ones with the smallest id hashes, after thinning frequent languages to equal shares).
+documents (a documented bound: equal shares of the languages, as far as they have rows, by id hashes).
 A quarter of them calibrates: a temperature is fitted by likelihood, and the rejection limit is the smallest score above which
 ``PRECISION`` of the calibration documents are right.
 
@@ -116,20 +116,29 @@ def _features(batches):
             buckets.append(hit.astype(np.int32).tobytes())
             weights.append((counts[hit] / counts.sum()).astype(np.float32).tobytes())
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array(buckets, pa.binary()), pa.array(weights, pa.binary())], names=["lang", "h", "buckets", "weights"])
+            [batch.column(0), batch.column(1), pa.array(buckets, pa.binary()), pa.array(weights, pa.binary())], names=["lang", "place", "buckets", "weights"])
 
 
-def fit(docs: DataFrame, rows: int = TRAIN_ROWS):
-    """Model (names, table, bias, temperature, limit) from rows (doc_id, text, lang) that may be learnt from; None without any."""
+def drawn(docs: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
+    """At most ``rows`` rows (lang, place, buckets, weights) to learn from, about as many of each language; one with few rows keeps all.
+
+    ``place`` is what a row's number in its language's order by hash is expected to be, so the smallest places are equal shares.
+    """
     usable = docs.filter("lang is not null and text is not null").select(
         F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"),
         F.xxhash64("doc_id", F.lit(3)).bitwiseAND(F.lit((1 << 62) - 1)).alias("h"))
     counts = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
     # Every language gets about the same number of rows: a share of its hash range.
-    limits = counts.select("lang", (F.lit(float(1 << 62)) * F.least(F.lit(1.0), F.lit(1.2 * rows) / (
+    limits = counts.select("lang", "n", (F.lit(float(1 << 62)) * F.least(F.lit(1.0), F.lit(1.2 * rows) / (
         F.count(F.lit(1)).over(Window.partitionBy(F.lit(0))) * F.col("n")))).alias("limit"))
-    drawn = usable.join(F.broadcast(limits), "lang").filter("h <= limit").select("lang", "h", "text")
-    found = drawn.mapInArrow(_features, "lang string, h long, buckets binary, weights binary").orderBy("h", "lang").limit(rows).collect()
+    some = usable.join(F.broadcast(limits), "lang").filter("h <= limit").select(
+        "lang", (F.col("n") * (F.col("h") / float(1 << 62))).alias("place"), "text")
+    return some.mapInArrow(_features, "lang string, place double, buckets binary, weights binary").orderBy("place", "lang").limit(rows)
+
+
+def fit(docs: DataFrame, rows: int = TRAIN_ROWS):
+    """Model (names, table, bias, temperature, limit) from rows (doc_id, text, lang) that may be learnt from; None without any."""
+    found = drawn(docs, rows).collect()
     if not found:
         return None
     names = sorted({r["lang"] for r in found})

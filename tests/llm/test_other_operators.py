@@ -119,6 +119,20 @@ def test_language_of_odd_documents(spark):
     assert language_id.language_report(documents(spark, [])).count() == 0
 
 
+def test_rare_languages_are_learnt(spark):
+    """Six languages of 3000 rows and one of 0.1 %: all of its rows are drawn, and the others keep equal shares."""
+    rows = [(i, f"wort {i}", f"l{i % 6}", "a") for i in range(18_000)] + [(100_000 + i, f"seltsam {i}", "rare", "a") for i in range(18)]
+    got = Counter(r["lang"] for r in language_id.drawn(documents(spark, rows)).select("lang").collect())
+    assert sum(got.values()) == language_id.TRAIN_ROWS and got["rare"] == 18
+    assert all(abs(got[f"l{i}"] - 497) < 75 for i in range(6))
+
+
+def test_rare_languages_of_some_size_keep_their_share(spark):
+    rows = [(i, f"wort {i}", f"l{i % 5}", "a") for i in range(25_000)] + [(100_000 + i, f"seltsam {i}", "rare", "a") for i in range(450)]
+    got = Counter(r["lang"] for r in language_id.drawn(documents(spark, rows)).select("lang").collect())
+    assert got["rare"] == 450
+
+
 def test_gram_counts_do_not_depend_on_blocks():
     text = "Der schnelle Fuchs über " * 50
     assert (language_id.gram_counts(text) == language_id.gram_counts(text, block=97)).all()

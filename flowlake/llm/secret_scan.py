@@ -7,7 +7,7 @@ against the rule itself. A rule without a mandatory trigram (only classes, such
 
 Matches are found by built-in expressions: the text is split at the pattern, so that piece and match lengths add up to
 code point positions. Leftmost non-overlapping matches are taken per rule, then those that fail the rule's length test are
-dropped (they still consume their text).
+dropped (they still consume their text). A private key is matched with its body, so that masking leaves none of it.
 
 Defined results: null text is empty; an id may be null or repeat (postings of equal ids are united, which can only add
 candidates); spans of different rules may overlap and are all reported; an empty table gives an empty result.
@@ -42,8 +42,18 @@ BASE = [
     Rule("access", r"AKIA[A-Z0-9]+", 0, 20),
     Rule("hex", r"[0-9a-f]+", 0, 24),
 ]
+# A key in PEM form: up to its END line, whatever lies between but another key's start; where the END line is missing, the
+# lines of base64 (also with breaks written as \n, or runs on one line). Repeats of groups are possessive, so that
+# Java's matcher takes them in a loop and long keys cost no stack.
+_HEADER = r"-----BEGIN [A-Z ]*PRIVATE KEY-----"
+_TO_END = r"(?:(?!-----(?:BEGIN|END) )[\s\S])*+-----END [A-Z ]*PRIVATE KEY-----"
+_BREAK = r"(?:[\x20\x09-\x0D\"'+,>]|\\[nr])*+"
+_RUN = _BREAK + r"[A-Za-z0-9+/]{16,}={0,2}"
+_SHORT = r"[\x20\x09]*+(?:\r?\n|\r|(?:\\r)?\\n)[\x20\x09>]*+[A-Za-z0-9+/=]+(?![^\r\n\\\"'])"  # alone on its line
+_PADDED = r"\x20++[A-Za-z0-9+/]+={1,2}(?![A-Za-z0-9+/=])"
+_LINES = r"(?:\s*+(?:Proc-Type|DEK-Info): [^\r\n\\]*+)*+" + f"(?:{_RUN}|{_SHORT}|{_PADDED})*+"
 EXTRA = [
-    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    Rule("private_key", _HEADER + f"(?:{_TO_END}|{_LINES})"),
     Rule("github", r"gh[pousr]_[A-Za-z0-9]+", 0, 40),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]+", 0, 15),
     Rule("google", r"AIza[A-Za-z0-9_-]+", 0, 39),

@@ -1,15 +1,19 @@
 """URL filters: fixed host and path rules, and a tree of path templates that learns from labelled pages.
 
 Per host, paths grow into a tree, one level of segments at a time. Digits inside a segment are a variable at once. Among
-the children of a node those that hold at least ``MIN_SHARE`` of its pages (and ``MIN_PAGES``) stay as they are; the others
-are one wildcard child. A child whose labelled pages are not statistically different from the pool it comes from (two-proportion
-z test) is merged with that pool and judged by it; a child that differs stands for itself. A template is rejected when
-its smoothed share of bad labels, ``(bad + STRENGTH * prior) / (labelled + STRENGTH)``, reaches ``REJECT``; the prior is the
-share over all labelled pages.
-
-Pages are folded to (host, path) before anything else, and each level to (node, segment). A node keeps at most
-``1 / MIN_SHARE`` literal children, so what is joined back per level is one row per node with a short list. Levels beyond
-``DEPTH`` are taken together as one wildcard, so the number of levels does not follow the longest path.
+the children of a node those that hold at least ``MIN_SHARE`` of its pages (and ``MIN_PAGES``) stay as they are. The others
+are one wildcard child, but for those whose labels tell them apart: a segment with ``MIN_PAGES`` labels or more whose share of bad
+ones differs from the rest of the wildcard stays as it is, however small its share of the pages. As any number of segments is
+tested, the limit of that test grows with their number; and a segment leaves the wildcard only if its own smoothed share then lies
+on the side that its labels point to (a small bad segment is not judged milder for being alone). A child whose labelled pages
+are not statistically different from the pool it comes from (two-proportion z test) is merged with that pool and judged by it;
+a child that differs stands for itself. A template is rejected when its smoothed share of bad labels,
+``(bad + STRENGTH * prior) / (labelled + STRENGTH)``, reaches ``REJECT``; the prior is the share over all labelled pages.
+
+Pages are folded to (host, path) before anything else, and each level to (node, segment). Literal children are joined back by (node,
+segment), the wildcard by node, so no node's children are gathered in one row. Below ``DEPTH`` levels a branch is followed as long as its
+node has ``MIN_PAGES`` labels; what is left of a path where the labels end is one ``**``, judged as its node. The number of levels follows the
+deepest branch with that many labels, not the longest path.
 
 Defined results: a null url, or one without ``://``, has an empty host and path; a page without label counts as a page only;
 several labels of a page all count; repeated rows count each; without any label nothing is rejected by the tree; an
@@ -18,6 +22,8 @@ empty table gives an empty result.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -58,63 +64,90 @@ def rule_of(host: Column, path: Column, rules=None) -> tuple[Column, Column]:
 
 
 def _segments(path: Column) -> Column:
-    """Path segments with runs of digits as ``#``; what lies deeper than DEPTH is one ``**``."""
-    parts = F.split(F.regexp_replace(F.regexp_replace(path, "^/", ""), "[0-9]+", "#"), "/", -1)
-    deep = F.concat(F.slice(parts, 1, DEPTH), F.array(F.lit("**")))
-    return F.when(F.size(parts) > DEPTH, deep).otherwise(parts)
+    """Path segments with runs of digits as ``#``; a star is written as a code, since ``*`` and ``**`` are wildcards."""
+    plain = F.regexp_replace(F.regexp_replace(path, "^/", ""), "[0-9]+", "#")
+    return F.split(F.replace(plain, F.lit("*"), F.lit("%2A")), "/", -1)
 
 
-def _differs(bad: Column, n: Column, pool_bad: Column, pool_n: Column) -> Column:
+def _differs(bad: Column, n: Column, pool_bad: Column, pool_n: Column, z: Column | float = Z) -> Column:
     """Whether a part's share of bad labels differs from that of the rest of its pool (two-proportion z test)."""
     rest_bad, rest_n = pool_bad - bad, pool_n - n
     share = F.try_divide(pool_bad, pool_n)
     gap = F.try_divide(bad, n) - F.try_divide(rest_bad, rest_n)
     error = F.sqrt(share * (1 - share) * (F.try_divide(F.lit(1.0), n) + F.try_divide(F.lit(1.0), rest_n)))
-    return F.coalesce(F.abs(gap) > Z * error, F.lit(False))
+    return F.coalesce(F.abs(gap) > z * error, F.lit(False))
+
+
+def _purity(bad: Column, n: Column, prior: float) -> Column:
+    return (bad + STRENGTH * prior) / (n + STRENGTH)
+
+
+def _children(tree: DataFrame, seg: Column, prior: float) -> tuple[DataFrame, DataFrame]:
+    """The literal children (host, template, seg, n, bad, own) and the wildcards (host, template, n, bad, own) of all nodes.
+
+    ``own``: whether the child differs from the pool that its node is judged by.
+    """
+    node, col = ["host", "template"], F.col
+    counts = tree.withColumn("seg", seg).groupBy(*node, "seg").agg(
+        F.sum("pages").alias("pages"), F.sum("labelled").alias("n"), F.sum("bad").alias("bad"),
+        F.first("pool_n").alias("pool_n"), F.first("pool_bad").alias("pool_bad"))
+    counts = materialise(counts, "segments")
+    all_pages = counts.groupBy(*node).agg(F.sum("pages").alias("all"))
+    sized = counts.join(all_pages, node).withColumn("large", (col("pages") >= MIN_PAGES) & (col("pages") >= MIN_SHARE * col("all")))
+    tested = col("n") >= MIN_PAGES
+    rest = sized.filter(~col("large")).groupBy(*node).agg(
+        F.sum("n").alias("rest_n"), F.sum("bad").alias("rest_bad"), F.count_if(tested).alias("tests"))
+    limit = F.sqrt(Z * Z + 2 * F.log(F.greatest(col("tests"), F.lit(1))))
+    worse = col("bad") * col("rest_n") > col("rest_bad") * col("n")
+    judged_worse = _purity(col("bad"), col("n"), prior) > _purity(col("rest_bad"), col("rest_n"), prior)
+    apart = tested & _differs(col("bad"), col("n"), col("rest_bad"), col("rest_n"), limit) & (worse == judged_worse)
+    own = _differs(col("bad"), col("n"), col("pool_bad"), col("pool_n")).alias("own")
+    parted = materialise(sized.join(rest, node, "left").withColumn("literal", col("large") | F.coalesce(apart, F.lit(False))), "children")
+    wild = parted.filter(~col("literal")).groupBy(*node).agg(
+        F.sum("n").alias("n"), F.sum("bad").alias("bad"), F.first("pool_n").alias("pool_n"), F.first("pool_bad").alias("pool_bad"))
+    return parted.filter("literal").select(*node, "seg", "n", "bad", own), wild.select(*node, "n", "bad", own)
 
 
 def templates(paths: DataFrame) -> DataFrame:
-    """(host, path, pages, labelled, bad) -> host, path, template, pool, pool_labelled, pool_bad.
+    """(host, path, pages, labelled, bad) -> host, path, template, pool, purity.
 
     ``pool`` names the merged branch that judges the path.
     """
     total = paths.agg(F.sum("labelled").alias("n"), F.sum("bad").alias("bad")).first()
     n_all, bad_all = float(total["n"] or 0), float(total["bad"] or 0)
+    prior = bad_all / n_all if n_all else 0.0
     tree = paths.withColumn("segs", _segments(F.col("path"))).withColumn("template", F.lit(""))
     hosts = paths.groupBy("host").agg(F.sum("labelled").alias("hn"), F.sum("bad").alias("hb"))
     own = _differs(F.col("hb"), F.col("hn"), F.lit(bad_all), F.lit(n_all))
-    hosts = hosts.select("host", F.when(own, F.col("host")).otherwise(F.lit("*")).alias("pool"),
+    hosts = hosts.select("host", F.col("hn").alias("node_n"), F.when(own, F.col("host")).otherwise(F.lit("*")).alias("pool"),
                          F.when(own, F.col("hn").cast("double")).otherwise(F.lit(n_all)).alias("pool_n"),
                          F.when(own, F.col("hb").cast("double")).otherwise(F.lit(bad_all)).alias("pool_bad"))
     tree = materialise(tree.join(hosts, "host"), "tree")
-    depth = min(DEPTH + 1, tree.agg(F.max(F.size("segs"))).first()[0] or 0)
-    keep = [c for c in tree.columns if c not in ("template", "pool", "pool_n", "pool_bad")]
-    for level in range(depth):
+    keep = ["host", "path", "pages", "labelled", "bad", "segs"]
+    node, ended, level = ["host", "template"], [], 0
+    while True:
         seg = F.get("segs", F.lit(level))
-        counts = tree.withColumn("seg", seg).filter("seg is not null").groupBy("host", "template", "seg").agg(
-            F.sum("pages").alias("pages"), F.sum("labelled").alias("n"), F.sum("bad").alias("bad"),
-            F.first("pool_n").alias("pool_n"), F.first("pool_bad").alias("pool_bad"))
-        node = counts.groupBy("host", "template").agg(F.sum("pages").alias("all"))
-        sized = counts.join(node, ["host", "template"]).withColumn(
-            "name", F.when((F.col("pages") >= MIN_PAGES) & (F.col("pages") >= MIN_SHARE * F.col("all")), F.col("seg")).otherwise(F.lit("*")))
-        children = sized.groupBy("host", "template", "name").agg(
-            F.sum("n").alias("n"), F.sum("bad").alias("bad"), F.first("pool_n").alias("pool_n"), F.first("pool_bad").alias("pool_bad"))
-        children = children.withColumn("own", _differs(F.col("bad"), F.col("n"), F.col("pool_bad"), F.col("pool_n")))
-        nodes = materialise(children.groupBy("host", "template").agg(
-            F.collect_list(F.struct("name", "n", "bad", "own")).alias("children")), "nodes")
-        joined = tree.join(nodes, ["host", "template"], "left").withColumn("seg", seg)
-        exact = F.get(F.filter("children", lambda c: c["name"] == F.col("seg")), F.lit(0))
-        other = F.get(F.filter("children", lambda c: c["name"] == "*"), F.lit(0))
-        joined = joined.withColumn("child", F.when(F.col("seg").isNotNull(), F.coalesce(exact, other)))
-        name = F.concat_ws("/", "template", "child.name")
-        own = F.coalesce(F.col("child.own"), F.lit(False))
+        ends = seg.isNull() if level < DEPTH else seg.isNull() | (F.col("node_n") < MIN_PAGES)
+        ended.append(tree.filter(ends).select(
+            "host", "path", F.when(seg.isNull(), F.col("template")).otherwise(F.concat_ws("/", "template", F.lit("**"))).alias("template"),
+            "pool", "pool_n", "pool_bad"))
+        tree = tree.filter(~ends)
+        if tree.isEmpty():
+            break
+        literal, wild = _children(tree, seg, prior)
+        literal = literal.select(*node, "seg", F.struct(F.col("seg").alias("name"), "n", "bad", "own").alias("exact"))
+        wild = wild.select(*node, F.struct(F.lit("*").alias("name"), "n", "bad", "own").alias("other"))
+        joined = tree.withColumn("seg", seg).join(literal, [*node, "seg"], "left").join(wild, node, "left").withColumn(
+            "child", F.coalesce("exact", "other"))
+        name, own = F.concat_ws("/", "template", "child.name"), F.col("child.own")
         tree = materialise(joined.select(
-            *keep, F.when(F.col("child").isNull(), F.col("template")).otherwise(name).alias("template"),
+            *keep, name.alias("template"), F.col("child.n").alias("node_n"),
             F.when(own, F.concat("host", name)).otherwise(F.col("pool")).alias("pool"),
             F.when(own, F.col("child.n").cast("double")).otherwise(F.col("pool_n")).alias("pool_n"),
             F.when(own, F.col("child.bad").cast("double")).otherwise(F.col("pool_bad")).alias("pool_bad")), "tree")
-    purity = (F.col("pool_bad") + STRENGTH * (bad_all / n_all if n_all else 0.0)) / (F.col("pool_n") + STRENGTH)
-    return tree.select("host", "path", "template", "pool", purity.alias("purity"))
+        level += 1
+    found = functools.reduce(DataFrame.union, ended)
+    return found.select("host", "path", "template", "pool", _purity(F.col("pool_bad"), F.col("pool_n"), prior).alias("purity"))
 
 
 def judge(pages: DataFrame, labels: DataFrame, rules=None, reject: float = REJECT) -> DataFrame:

@@ -274,3 +274,41 @@ def test_bad_templates_are_rejected(spark):
     blocked = {(r["host"], r["path"].split("/")[1]) for r in got.filter("verdict = 'block'").collect()}
     assert blocked == {("h.com", "ads")}
     assert got.filter("verdict = 'block'").count() == sum("h.com/ads" in u for _, u in rows)
+
+
+def blocked(spark, rows):
+    """Addresses that are blocked, from (address, bad or None) with one page a row."""
+    pages = spark.createDataFrame([(i, f"http://{u}") for i, (u, _) in enumerate(rows)], "page_id long, url string")
+    marks = spark.createDataFrame([(i, b) for i, (_, b) in enumerate(rows) if b is not None], "page_id long, bad boolean")
+    got = url_filter.judge(pages, marks, rules=[])
+    assert got.count() == len(rows)
+    return {f"{r['host']}{r['path']}" for r in got.filter("verdict = 'block'").collect()}
+
+
+def test_small_bad_directories_are_rejected(spark):
+    """Under 1 % of a host's pages, alone among good directories, and 20 of 200 equal ones."""
+    one = [(f"h.com/main/{i}", False) for i in range(8000)] + [(f"h.com/good{chr(97 + i % 20)}/{i}", False) for i in range(1000)]
+    one += [(f"h.com/evil/{i}", True) for i in range(80)]
+    assert blocked(spark, one) == {u for u, bad in one if bad}
+    many = [(f"h.com/{chr(97 + i // 20)}{chr(97 + i % 20)}x/{k}", i % 10 == 3) for i in range(200) for k in range(40)]
+    assert blocked(spark, many) == {u for u, bad in many if bad}
+
+
+def test_small_good_directories_are_kept_and_bad_ones_judged_together(spark):
+    rows = [(f"h.com/main/{i}", False) for i in range(8000)]
+    bad = [(f"h.com/{chr(97 + i // 20)}{chr(97 + i % 20)}x/{k}", True) for i in range(200) for k in range(8)]
+    good = [(f"h.com/fine/{k}", False) for k in range(60)]
+    assert blocked(spark, rows + bad + good) == {u for u, _ in bad}  # few labels each, but many together
+
+
+def test_deep_templates_are_told_apart(spark):
+    top = "/".join("abcdefghijk")
+    rows = [(f"h.com/{top}/{['ads', 'news'][i % 4 == 0]}/{i}", i % 4 == 0) for i in range(800)]
+    rows += [(f"g.com/{i}", False) for i in range(2000)] + [("h.com/" + "/".join("s" * 300), None)]
+    assert blocked(spark, rows) == {u for u, bad in rows if bad}
+
+
+def test_stars_in_paths_are_segments(spark):
+    rows = [(f"h.com/*/{i}", True) for i in range(300)] + [(f"h.com/{chr(97 + i % 20)}{chr(97 + i // 20)}/x", False) for i in range(400)]
+    rows += [(f"g.com/{i}", False) for i in range(2000)]
+    assert blocked(spark, rows) == {u for u, bad in rows if bad}

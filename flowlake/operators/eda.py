@@ -59,8 +59,12 @@ def bucket_top_classes(df: DataFrame, bucket: Column, column: str, k: int, exclu
 
 
 def ordinal_batches(df: DataFrame, column: str, order: list[str], batches: int = 200) -> DataFrame:
-    """Split the rows, in order, into runs of ``max(rows // batches, 1)`` and count classes per run."""
-    numbered = with_ordinal(df.select(*dict.fromkeys([*order, column])), order)
+    """Split the rows, in order, into runs of ``max(rows // batches, 1)`` and count classes per run.
+
+    Ties of ``order`` are broken by the class itself: rows equal in both are interchangeable here, so the counts do not depend on layout.
+    """
+    names = list(dict.fromkeys([*order, column]))
+    numbered = with_ordinal(df.select(*names), names)
     size = F.greatest(F.floor(numbered.agg(F.count(F.lit(1))).scalar() / batches), F.lit(1))
     return (
         numbered.groupBy(F.floor(F.col("ordinal") / size).alias("batch"), column)

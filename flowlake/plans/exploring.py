@@ -65,7 +65,7 @@ def hourly_top5(spark, sf):
 
 
 @query("ordinal_batches", with_flows("""
-, numbered as (select Attack_type, row_number() over (order by flow_key) - 1 as i,
+, numbered as (select Attack_type, row_number() over (order by flow_key, Attack_type) - 1 as i,
                greatest(count(*) over () // 200, 1) as size from flows)
 select cast(i // size as bigint) as batch, Attack_type, count(*) as n from numbered group by 1, 2"""))
 def ordinal_batches(spark, sf):

@@ -1,10 +1,10 @@
 """Every catalogue query against its SQL, on the smallest tables."""
 
 import pytest
-from conftest import SMALL
 
 from __spark_entry__ import entry, oracle_sql, queries
 from compare import compare, duck
+from places import SMALL
 
 ORACLES = oracle_sql()
 

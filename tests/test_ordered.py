@@ -75,6 +75,19 @@ def test_ordinal_batches(skewed):
     assert {(r["batch"], r["g"]): r["n"] for r in got} == want
 
 
+def test_ordinal_batches_break_ties_by_class(skewed):
+    """A third of the rows share one key and lie in both classes; the layout must not matter."""
+    df, rows = skewed
+    mixed = df.withColumn("g", F.when(F.col("i") % 2 == 0, "b").otherwise("a"))
+    order = sorted((r[3], "b" if r[0] % 2 == 0 else "a") for r in rows)
+    want = {}
+    for n, (_, g) in enumerate(order):
+        want[n // (2000 // 7), g] = want.get((n // (2000 // 7), g), 0) + 1
+    for layout in (mixed, mixed.repartition(7), mixed.repartition(3, "g")):
+        got = {(r["batch"], r["g"]): r["n"] for r in E.ordinal_batches(layout, "g", ["k"], batches=7).collect()}
+        assert got == want
+
+
 def test_split_exact_with_hot_key(skewed):
     df, rows = skewed
     train, test = M.split_exact(df, ["k"], "g", 0.8, cells=16)

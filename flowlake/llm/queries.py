@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlake.llm import (fingerprint, language_id, mixing, ngram_join, packing, quality_rules, secret_scan, sharding, token_rollup,
-                          url_filter)
+from flowlake.llm import (fingerprint, language_id, mixing, ngram_join, packing, periodic_runs, personal_data, prefix_trie, quality_rules,
+                          secret_scan, sharding, token_rollup, url_filter)
 from flowlake.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,6 +65,18 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(read_table(spark, sf_dir, "pages"), labels)
 
 
+def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.personal_report(read_table(spark, sf_dir, "documents"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie_report(read_table(spark, sf_dir, "conversations"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.runs_report(read_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_token_counts": op1_token_counts,
@@ -77,6 +89,9 @@ def queries() -> dict[str, Query]:
         "op8_fingerprint": op8_fingerprint,
         "op9_quality_rules": op9_quality_rules,
         "op10_url_filter": op10_url_filter,
+        "op11_personal_data": op11_personal_data,
+        "op12_prefix_trie": op12_prefix_trie,
+        "op13_periodic_runs": op13_periodic_runs,
     }
 
 

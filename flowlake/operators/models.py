@@ -8,12 +8,14 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowlake.operators.mlprep import minmax_scaler, standard_scaler
+from flowlake.functions.hashing import RESOLUTION
+from flowlake.operators.mlprep import FOLD_DRAW, minmax_scaler, standard_scaler
 
 WEIGHT = "classWeight"
+FOLD = "fold"
 
 # Search grids and fold counts per model and mode.
 GRIDS = {
@@ -69,11 +71,18 @@ def estimator(kind: str, weighted: bool = True, max_iter: int = 100, seed: int =
     raise ValueError(f"unknown model {kind!r}; one of {MODELS}")
 
 
+def fold_of(drawn: Column, folds: int) -> Column:
+    """Fold of a row from the draw of its key."""
+    return F.floor(drawn * folds / RESOLUTION).cast("int")
+
+
 def tune(train: DataFrame, kind: str, mode: str = "quick", grid: dict[str, list] | None = None, folds: int | None = None,
          parallelism: int = 2, weighted: bool | None = None, max_iter: int = 100, seed: int = 42) -> CrossValidatorModel:
     """Grid search with k-fold cross-validation on weighted F1.
 
-    ``grid`` and ``folds`` replace those of the mode. Naive Bayes is unweighted unless asked otherwise.
+    ``grid`` and ``folds`` replace those of the mode. Naive Bayes is unweighted unless asked otherwise. Rows with a ``FOLD_DRAW`` (those
+    of ``mlprep.training_set``) are dealt to folds by it, so that rows of one key share a fold and the folds do not depend on
+    how the table is laid out; others are dealt at random.
     """
     if weighted is None:
         weighted = kind != "naive_bayes" and WEIGHT in train.columns
@@ -82,13 +91,18 @@ def tune(train: DataFrame, kind: str, mode: str = "quick", grid: dict[str, list]
     builder = ParamGridBuilder()
     for name, values in (grid or preset).items():
         builder = builder.addGrid(stage.getParam(name), values)
+    n_folds = folds or preset_folds
+    by_key = {"foldCol": FOLD} if FOLD_DRAW in train.columns else {}
+    if by_key:
+        train = train.withColumn(FOLD, fold_of(F.col(FOLD_DRAW), n_folds))
     return CrossValidator(
         estimator=pipeline,
         estimatorParamMaps=builder.build(),
         evaluator=MulticlassClassificationEvaluator(metricName="f1"),
-        numFolds=folds or preset_folds,
+        numFolds=n_folds,
         seed=seed,
         parallelism=parallelism,
+        **by_key,
     ).fit(train)
 
 
@@ -106,7 +120,7 @@ def cv_results(train: DataFrame, model: CrossValidatorModel) -> DataFrame:
 def score(df: DataFrame, model, labels: list[str] | None = None) -> DataFrame:
     """Apply a fitted model (also to a stream); with ``labels`` the predicted class gets its name."""
     best = model.bestModel if isinstance(model, CrossValidatorModel) else model
-    scored = best.transform(df)
+    scored = best.transform(df).drop(FOLD_DRAW)
     if labels is None:
         return scored
     names = F.array(*[F.lit(x) for x in labels])

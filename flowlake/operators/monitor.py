@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +38,54 @@ def _files(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+@contextlib.contextmanager
+def footer_reads(spark: SparkSession):
+    """Within this, Parquet is read by the reader that can answer counts, minima and maxima from file footers."""
+    keys = {"spark.sql.sources.useV1SourceList": "avro,csv,json,kafka,orc,text", "spark.sql.parquet.aggregatePushdown": "true"}
+    before = {k: spark.conf.get(k) for k in keys}
+    try:
+        for key, value in keys.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def plan_text(df: DataFrame) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def footer_count(spark: SparkSession, path: str) -> tuple[int, int, bool]:
+    """Rows and columns of a Parquet table, and whether the scan took them from the footers (no row is read then)."""
+    with footer_reads(spark):
+        table = spark.read.parquet(path)
+        counted = table.agg(F.count(F.lit(1)).alias("n"))
+        pushed = "PushedAggregation: [COUNT(*)]" in plan_text(counted)
+        return counted.first()["n"], len(table.columns), pushed
+
+
+def layer_counts(spark: SparkSession, layers: dict[str, str]) -> DataFrame:
+    """``layer, rows, columns, exists, from_footers`` of Parquet tables; the driver gets one row per table."""
+    rows = []
+    for name, path in layers.items():
+        try:
+            n, width, pushed = footer_count(spark, path)
+            rows.append((name, n, width, True, pushed))
+        except AnalysisException as error:
+            if not _absent(error):
+                raise
+            rows.append((name, None, None, False, False))
+    return spark.createDataFrame(rows, "layer string, rows long, columns int, exists boolean, from_footers boolean")
+
+
+def _rows(spark: SparkSession, table: DataFrame, path: str, fmt: str) -> DataFrame:
+    """One row with the number of rows; from footers where the format has them."""
+    if fmt == "parquet":
+        return spark.range(1).select(F.lit(footer_count(spark, path)[0]).cast("long").alias("rows"))
+    return table.agg(F.count(F.lit(1)).alias("rows"))
+
+
 def _layer(spark: SparkSession, name: str, path: str, fmt: str) -> DataFrame:
     frame = spark.range(1).select(F.lit(name).alias("layer"))
     try:
@@ -48,7 +98,7 @@ def _layer(spark: SparkSession, name: str, path: str, fmt: str) -> DataFrame:
             F.lit(0.0).alias("size_mb"), F.lit(False).alias("exists"),
         )
     size = _files(spark, path).agg(F.coalesce(F.sum("length"), F.lit(0))).scalar()
-    return table.agg(F.count(F.lit(1)).alias("rows")).select(
+    return _rows(spark, table, path, fmt).select(
         F.lit(name).alias("layer"), "rows", F.lit(len(table.columns)).alias("columns"),
         F.round(size / (1024 * 1024), 2).alias("size_mb"), F.lit(True).alias("exists"),
     )

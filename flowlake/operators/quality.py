@@ -199,9 +199,22 @@ def require(df: DataFrame, names: list[str]) -> DataFrame:
     return df
 
 
-def report(df: DataFrame, labels: list[str], digits: int = 2) -> DataFrame:
-    """All checks as ``(check, item, metric, value)`` rows: one scan for cell-level checks, one shuffle
-    for duplicates and one for class counts."""
+def cell_measures(fields: list[T.StructField]) -> dict[str, Column]:
+    """The aggregates behind the cell-level checks: rows, missing cells ``m<i>`` per column, infinities ``i<i>`` per float column,
+    and per numeric column ``n<i>``, ``s<i>`` (sum), ``lo<i>``, ``hi<i>`` of the finite values."""
+    floats = [f.name for f in fields if isinstance(f.dataType, FLOATS)]
+    numbers = [f.name for f in fields if isinstance(f.dataType, NUMBERS)]
+    finite = {c: finite_or_null(quoted(c).cast("double")) for c in numbers}
+    return {
+        "_rows": F.count(F.lit(1)),
+        **{f"m{i}": F.count_if(is_missing(f)) for i, f in enumerate(fields)},
+        **{f"i{i}": F.count_if(is_infinite(quoted(c))) for i, c in enumerate(floats)},
+        **{f"{m}{i}": f(finite[c]) for i, c in enumerate(numbers) for m, f in {"n": F.count, "s": F.sum, "lo": F.min, "hi": F.max}.items()},
+    }
+
+
+def assembled(cells: DataFrame, fields: list[T.StructField], dup: DataFrame, classes: DataFrame, digits: int = 2) -> DataFrame:
+    """The report from its three parts: one row of ``cell_measures``, the duplicates, and the class counts."""
     def rows(frame, check, item, metrics):
         return frame.select(
             F.lit(check).alias("check"), item.alias("item"),
@@ -210,24 +223,14 @@ def report(df: DataFrame, labels: list[str], digits: int = 2) -> DataFrame:
             ])),
         )
 
-    fields, floats, numbers = df.schema.fields, columns_of(df, FLOATS), columns_of(df, NUMBERS)
-    cells = df.agg(
-        F.count(F.lit(1)).alias("_rows"),
-        *[F.count_if(is_missing(f)).alias(f"m{i}") for i, f in enumerate(fields)],
-        *[F.count_if(is_infinite(quoted(c))).alias(f"i{i}") for i, c in enumerate(floats)],
-        *[
-            f(finite_or_null(quoted(c).cast("double"))).alias(f"{m}{i}")
-            for i, c in enumerate(numbers)
-            for m, f in {"avg": F.avg, "lo": F.min, "hi": F.max}.items()
-        ],
-    )
-
     def cell(check, item, metric, value):
         return F.struct(
             F.lit(check).alias("check"), F.lit(item).alias("item"), F.lit(metric).alias("metric"),
             value.cast("double").alias("value"),
         )
 
+    floats = [f.name for f in fields if isinstance(f.dataType, FLOATS)]
+    numbers = [f.name for f in fields if isinstance(f.dataType, NUMBERS)]
     entries = [
         cell("basic", "table", "total_rows", F.col("_rows")),
         cell("basic", "table", "total_columns", F.lit(len(fields))),
@@ -238,13 +241,18 @@ def report(df: DataFrame, labels: list[str], digits: int = 2) -> DataFrame:
     entries += [cell("infinity", c, "infinity_count", F.col(f"i{i}")) for i, c in enumerate(floats)]
     for i, c in enumerate(numbers):
         entries += [
-            cell("numeric", c, "mean", F.col(f"avg{i}")),
+            cell("numeric", c, "mean", F.try_divide(F.col(f"s{i}"), F.col(f"n{i}").cast("double"))),
             cell("numeric", c, "min_value", F.col(f"lo{i}")),
             cell("numeric", c, "max_value", F.col(f"hi{i}")),
         ]
-    dup = rows(duplicates(df, digits), "duplicates", F.lit("table"),
-               ["total_rows", "distinct_rows", "duplicate_rows", "duplicate_pct"])
-    classes = rows(class_distribution(df, labels, digits), "classes",
-                   F.concat_ws("=", "column_name", F.coalesce("class_value", F.lit("null"))),
-                   ["count", "percentage"])
-    return _stacked(cells, entries).unionByName(dup).unionByName(classes)
+    dup_rows = rows(dup, "duplicates", F.lit("table"), ["total_rows", "distinct_rows", "duplicate_rows", "duplicate_pct"])
+    class_rows = rows(classes, "classes", F.concat_ws("=", "column_name", F.coalesce("class_value", F.lit("null"))), ["count", "percentage"])
+    return _stacked(cells, entries).unionByName(dup_rows).unionByName(class_rows)
+
+
+def report(df: DataFrame, labels: list[str], digits: int = 2) -> DataFrame:
+    """All checks as ``(check, item, metric, value)`` rows: one scan for cell-level checks, one shuffle
+    for duplicates and one for class counts. ``profiles`` keeps the same by day."""
+    fields = df.schema.fields
+    cells = df.agg(*[column.alias(name) for name, column in cell_measures(fields).items()])
+    return assembled(cells, fields, duplicates(df, digits), class_distribution(df, labels, digits), digits)

@@ -16,7 +16,7 @@ from flowlake.plans.catalog import query
 from flowlake.plans.medallion import run_batch
 from flowlake.plans.sql import FEATURES, FORMULAS, NUMERIC, guard, union, with_clean, with_flows, with_gold, with_raw
 from flowlake.session import scratch_path
-from flowlake.sources import tables
+from flowlake.sources import filelist, tables
 from flowlake.sources.adapters import event_records, flows, raw_flows, table
 from flowlake.sources.messages import enrich, envelope_schema, parse_payload, to_messages
 
@@ -28,12 +28,18 @@ def gold(spark, sf):
 _STORED: dict[tuple, str] = {}
 
 
+def _version(spark, path: str) -> tuple:
+    """Newest change, size and number of a table's files, so that a table that changes under its path is read again."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return tuple(files.agg(F.max("modificationTime").cast("string"), F.sum("length"), F.count(F.lit(1))).first())
+
+
 def stored_gold(spark, sf):
     """The feature layer as a stored table, written by the batch pipeline on first use in a session.
 
     Exploration, training and audits read this table, column by column, instead of cleaning again.
     """
-    key = (spark.sparkContext.applicationId, sf)
+    key = (spark.sparkContext.applicationId, sf, _version(spark, f"{sf}/lineitem.parquet"))
     if key in _STORED:
         try:
             return spark.read.parquet(_STORED[key])
@@ -94,6 +100,37 @@ def compact_table(spark, sf):
     ).withColumn("files", total)
 
 
+@query("scan_fallback", with_flows("select Attack_label, count(*) as n from flows group by Attack_label"))
+def scan_fallback(spark, sf):
+    """Parquet files that are said to be another format: once one that is not installed, once one that cannot read them."""
+    path = scratch_path(spark, "mislabelled")
+    tables.write_table(flows(spark, sf).select("Attack_label", "flow_key"), path)
+    half = [tables.read_table(spark, path, fmt, fallback="parquet").filter(F.col("flow_key") % 2 == k) for k, fmt in enumerate(("delta", "orc"))]
+    return half[0].unionByName(half[1]).groupBy("Attack_label").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("compact_small_files", with_flows("""
+select Attack_type, count(*) as n, sum(flow_key)::bigint as sum_key, true as large_kept, true as fewer, true as old_version_reads
+from flows group by Attack_type"""))
+def compact_small_files(spark, sf):
+    """A table of one large file and a dozen small ones after compaction; the large file stays and the version before can be read."""
+    path = scratch_path(spark, "listed")
+    rows = flows(spark, sf).select("flow_key", "Attack_type", "tcp_ack", "frame_time")
+    filelist.append(rows.filter("flow_key % 40 >= 12").coalesce(1), path)
+    large = filelist.files(spark, path).first()
+    for k in range(12):
+        filelist.append(rows.filter(F.col("flow_key") % 40 == k).coalesce(1), path)
+    before = filelist.latest(spark, path)
+    after = filelist.compact(spark, path, target=large["length"])
+    listed = filelist.files(spark, path)
+    kept = listed.filter(F.col("path") == large["path"]).count() == 1
+    fewer = listed.count() < filelist.files(spark, path, before).count()
+    whole = filelist.read(spark, path, before).count() == filelist.read(spark, path, after).count()
+    return filelist.read(spark, path).groupBy("Attack_type").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("flow_key").alias("sum_key"), F.lit(kept).alias("large_kept"), F.lit(fewer).alias("fewer"),
+        F.lit(whole).alias("old_version_reads"))
+
+
 @query("read_first", with_flows("select Attack_label, count(*) as n from flows group by Attack_label"))
 def read_first(spark, sf):
     path = scratch_path(spark, "present")

@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from flowlake.operators import eda as E
+from flowlake.operators import sketches as K
 from flowlake.operators.features import FEATURE_NAMES
 from flowlake.operators.quality import frequency
 from flowlake.plans.catalog import query
 from flowlake.plans.cleaning import stored_gold
 from flowlake.plans.sql import FEATURES, draw, union, with_flows, with_gold
+from flowlake.session import scratch_path
 from flowlake.sources.adapters import CLASSES, flows, table
 
 LOGGED = ["traffic_asymmetry_ratio", "pkt_size_cv", "flow_intensity"]
@@ -174,3 +176,20 @@ def sample_n(spark, sf):
 select event_id, event_type, value from events where {draw('event_id', 42)} < {int(0.3 * (1 << 32))}""")
 def sample_fraction(spark, sf):
     return E.sample_fraction(table(spark, sf, "events").select("event_id", "event_type", "value"), ["event_id"], 0.3)
+
+
+_POINTS = [0.01, 0.25, 0.5, 0.75, 0.99]
+
+
+@query("eda_sketch_quantiles", with_gold(union(
+    f"select '{c}' as feature, {p}::double as point, count(case when not (isnan({c}) or isinf({c})) then 1 end) as n, true as within from gold"
+    for c in FEATURES for p in _POINTS)))
+def eda_sketch_quantiles(spark, sf):
+    """Quantiles from stored sketches, one per year and feature, merged; ``within``: the rank measured is off by less than six
+    standard deviations of the sketch's error."""
+    gold = stored_gold(spark, sf)
+    path = scratch_path(spark, "sketches")
+    K.store(spark, K.per_part(gold.withColumn("year", F.year("event_time")), FEATURE_NAMES, "year"), path, "year")
+    answers = K.quantiles(K.merged(spark.read.parquet(path)), _POINTS)
+    measured = K.rank_errors(gold, answers)
+    return measured.select("feature", "point", "n", (F.col("rank_error") <= K.rank_bound(sigmas=6)).alias("within"))

@@ -1,7 +1,7 @@
 """Queries over training-data preparation, the classifiers and their explanations.
 
-Models are fitted once per session and table folder and shared by the queries that look at them, on all rows; the
-``fast`` grids are used where they end in reasonable time.
+Models are fitted once per session and stored feature layer and shared by the queries that look at them: on all rows, by the ``fast``
+searches of ``models.GRIDS``, with folds by key.
 """
 
 from __future__ import annotations
@@ -19,7 +19,10 @@ from flowlake.plans.cleaning import stored_gold
 from flowlake.plans.sql import NUMERIC, draw, union, with_clean, with_gold
 from flowlake.plans.training import train_and_log
 from flowlake.session import scratch_path
+from flowlake.sources.messages import table_stream
 from flowlake.sources.tables import read_csv
+from flowlake.streaming import scoring
+from flowlake.streaming.commits import make_folder
 
 SEED = 42
 TRAIN = f"{draw('flow_key', SEED)} < {int(0.8 * M.RESOLUTION)}"
@@ -177,22 +180,16 @@ def minmax_scale(spark, sf):
 # --- fitting
 
 MODE = "fast"
-# All rows are used, but two searches are cut here so that every query ends in reasonable time (the modes of
-# ``models.GRIDS`` hold the real ones), and the SQL of the Bayes queries has to know the smoothing that is picked.
-_GRID = {
-    "random_forest": {"numTrees": [20], "maxDepth": [5, 10], "minInstancesPerNode": [1]},
-    "gbt": {"maxIter": [5], "maxDepth": [3]},
-    "naive_bayes": {"smoothing": [1.0], "modelType": ["multinomial"]},
-}
 _FITTED: dict[tuple, tuple] = {}
 
 
 def fitted(spark, sf, kind):
     """``(cross-validated model, training set)``, fitted on the whole feature layer."""
-    key = (spark.sparkContext.applicationId, sf, kind)
+    gold = stored_gold(spark, sf)
+    key = (tuple(sorted(gold.inputFiles())), kind)  # a layer that is written anew has other files
     if key not in _FITTED:
-        sets = M.training_set(stored_gold(spark, sf), ["flow_key"], features=NUMERIC, seed=SEED)
-        model = models.tune(sets.train, kind, mode=MODE, grid=_GRID.get(kind), parallelism=4)
+        sets = M.training_set(gold, ["flow_key"], features=NUMERIC, seed=SEED, spread=spark.sparkContext.defaultParallelism)
+        model = models.tune(sets.train, kind, mode=MODE, parallelism=4)
         sets.release()
         _FITTED[key] = (model, sets)
     return _FITTED[key]
@@ -204,7 +201,7 @@ def _test_metrics(spark, sf, kind):
     return result.select("n", *[F.round(c, 6).alias(c) for c in result.columns[1:]])
 
 
-# The multinomial Bayes model in SQL: scaled training sums, log likelihoods, scores of the test side.
+# The multinomial Bayes model in SQL: scaled training sums, the smoothing that two folds by key prefer, log likelihoods, scores of the test side.
 _BAYES = f""", {_CLASS_TABLE},
 side as (select gold.*, label, name, {TRAIN} as in_train from gold join classes on name = Attack_type),
 """ + ",\n".join(
@@ -217,9 +214,29 @@ cells as (
     for j, c in enumerate(NUMERIC)
 ) + f"""),
 sums as (select label, name, j, feature, sum(x) as s from cells where in_train group by all),
-theta as (select label, name, j, feature, ln(s + 1.0) - ln(sum(s) over (partition by label) + {len(NUMERIC)} * 1.0) as v
+folded as (select *, row_number() over () as rid, cast(floor({draw('flow_key', SEED + 2)} * 2 / 4294967296) as integer) as fold
+  from side where in_train),
+parted as (
+""" + union(f"select rid, label, fold, {j} as j, {c}::double as x from folded" for j, c in enumerate(NUMERIC)) + f"""),
+two as (select * from (values (0), (1)) as t(held)), ways as (select * from (values (0.5::double), (1.0::double)) as t(a)),
+bounds as (select held, j, min(x) as lo, max(x) as hi from parted, two where fold <> held group by all),
+scaled as (select held, rid, label, fold, j, case when hi > lo then (x - lo) / (hi - lo) else 0.5 end as x from parted join bounds using (j)),
+cv_sums as (select held, label, j, sum(x) as s from scaled where fold <> held group by all),
+cv_theta as (select held, a, label, j, ln(s + a) - ln(sum(s) over (partition by held, a, label) + {len(NUMERIC)} * a) as v from cv_sums, ways),
+cv_pi as (select held, a, label, ln(n + a) - ln(sum(n) over (partition by held, a) + count(*) over (partition by held, a) * a) as v
+  from (select held, label, count(*)::double as n from folded, two where fold <> held group by all), ways),
+cv_best as (select held, a, rid, label, arg_max(cls, score) as guess from (
+  select c.held, t.a, c.rid, c.label, t.label as cls, any_value(p.v) + sum(c.x * t.v) as score
+  from scaled c join cv_theta t on t.held = c.held and t.j = c.j join cv_pi p on p.held = c.held and p.a = t.a and p.label = t.label
+  where c.fold = c.held group by all) group by all),
+cv_pairs as (select held, a, label, guess, count(*)::double as n from cv_best group by all),
+cv_f1 as (select held, a, sum(t * 2 * h / (t + coalesce(p, 0))) / sum(t) as f1 from (
+  select held, a, label as c, sum(n) as t, sum(case when label = guess then n else 0 end) as h from cv_pairs group by all)
+  left join (select held, a, guess as c, sum(n) as p from cv_pairs group by all) using (held, a, c) group by all),
+pick as (select a from (select a, round(avg(f1), 12) as f1 from cv_f1 group by a) order by f1 desc, a limit 1),
+theta as (select label, name, j, feature, ln(s + (select a from pick)) - ln(sum(s) over (partition by label) + {len(NUMERIC)} * (select a from pick)) as v
   from sums),
-pi as (select label, name, ln(n + 1.0) - ln(sum(n) over () + count(*) over () * 1.0) as v
+pi as (select label, name, ln(n + (select a from pick)) - ln(sum(n) over () + count(*) over () * (select a from pick)) as v
   from (select label, name, count(*)::double as n from side where in_train group by all)),
 """
 
@@ -317,6 +334,64 @@ def binary_metrics(spark, sf):
     return row.select("n", F.col("auc_roc").between(0, 1).alias("auc_in_range"), (F.col("auc_roc") > 0.5).alias("above_chance"))
 
 
+# --- what SQL can repeat of trees
+
+_FEW = ["tcp_flags", "tcp_connection_syn", "tcp_connection_fin", "tcp_connection_rst"]
+
+
+@query("stump", with_gold(", h as (" + union(
+    f"select '{c}' as feature, {c}::double as v, Attack_type as cls, count(*)::double as n from gold where {TRAIN} group by all" for c in _FEW) + """),
+cuts as (select feature, (v + lead(v) over (partition by feature order by v)) / 2 as t from (select distinct feature, v from h)),
+sides as (select feature, t, v <= t as is_left, cls, sum(n) as n from cuts join h using (feature) where t is not null group by all),
+g as (select feature, t, is_left, sum(n) as n, 1 - sum(n * n) / (sum(n) * sum(n)) as gini from sides group by all),
+root as (select sum(n) as n, 1 - sum(n * n) / (sum(n) * sum(n)) as gini from (
+  select cls, sum(n) as n from h where feature = 'tcp_flags' group by cls)),
+gains as (select feature, t, any_value(root.gini) - sum(g.n * g.gini) / any_value(root.n) as gain from g, root group by feature, t),
+best as (select feature as f, t, gain from gains order by round(gain, 9) desc, feature limit 1)
+select h.feature, case when h.feature = f then 1.0 else 0.0 end::double as importance, case when h.feature = f then round(t, 6) end as threshold,
+  case when h.feature = f then round(gain, 6) end as gain from (select distinct feature from h) h, best"""))
+def stump(spark, sf):
+    """A tree of depth 1 over features of few values, where its candidate cuts are all cuts there are."""
+    sets = M.training_set(stored_gold(spark, sf), ["flow_key"], features=_FEW, seed=SEED)
+    pipeline, stage = models.estimator("decision_tree", weighted=False)
+    model = pipeline.copy({stage.maxDepth: 1}).fit(sets.train)
+    root = X.root_split(spark, model, _FEW)
+    sets.release()
+    return X.tree_importance(spark, model, _FEW).join(root, "feature", "left").select(
+        "feature", "importance", F.round("threshold", 6).alias("threshold"), F.round("gain", 6).alias("gain"))
+
+
+_CHECKS = ["every tree of a forest is counted", "importances of a forest add up to 1", "importances of one-vs-rest add up to 1", "leaves are nodes + 1 halved",
+           "linear importance is the mean absolute weight", "objective deltas add up", "objective falls", "one boosted model per class"]
+
+
+@query("explain_checks", union(f"select '{c}' as what, true as holds" for c in _CHECKS))
+def explain_checks(spark, sf):
+    """The explanations of fitted models against each other and against the models' own series."""
+    forest, sets = fitted(spark, sf, "random_forest")
+    gbt, _ = fitted(spark, sf, "gbt")
+    tree, _ = fitted(spark, sf, "decision_tree")
+    linear, _ = fitted(spark, sf, "logistic_regression")
+    total = lambda df, c: df.agg(F.sum(c)).first()[0]  # noqa: E731  a row per feature, tree or iteration
+    whole, trees = X.forest_structure(spark, forest).first(), X.forest_trees(spark, forest)
+    boosted = X.forest_structure(spark, gbt, sets.labels)
+    text = X.tree_structure(spark, tree, None).first()
+    steps = X.objective_history(spark, linear).orderBy("iteration").collect()
+    weights = abs(X.last_stage(linear).coefficientMatrix.toArray()).mean(axis=0)
+    ranked = {r["feature"]: r["importance"] for r in X.linear_importance(spark, linear, sets.features, sets.labels).collect()}
+    holds = [
+        whole["num_trees"] == trees.count() == len(X.last_stage(forest).trees) and whole["total_nodes"] == total(trees, "num_nodes"),
+        abs(total(X.tree_importance(spark, forest, sets.features), "importance") - 1) < 1e-9,
+        abs(total(X.ovr_importance(spark, gbt, sets.features), "importance") - 1) < 1e-9,
+        text["num_leaves"] == text["preview"].count("Predict:") and 2 * text["num_leaves"] - 1 == text["num_nodes"],
+        all(abs(ranked[f] - w) < 1e-12 for f, w in zip(sets.features, weights)),
+        abs(sum(r["objective_delta"] for r in steps) - (steps[-1]["objective"] - steps[0]["objective"])) < 1e-9,
+        all(r["objective_delta"] <= 0 for r in steps),
+        boosted.count() == len(sets.labels) and boosted.filter(F.col("num_trees") == X.last_stage(gbt).models[0].getNumTrees).count() == len(sets.labels),
+    ]
+    return spark.createDataFrame(list(zip(_CHECKS, map(bool, holds))), "what string, holds boolean")
+
+
 # --- explanations
 
 @query("lr_importance")
@@ -410,6 +485,32 @@ def train_nb(spark, sf):
     return _test_metrics(spark, sf, "naive_bayes")
 
 
+@query("stream_score", _BAYES_SCORED + """, k as (select distinct rowno, flow_key from cells where not in_train)
+select (1 + flow_key % 2)::integer as model_version, c.name as predicted_class, count(*) as n
+from best join k using (rowno) join classes c on c.label = prediction group by 1, 2""")
+def stream_score(spark, sf):
+    """A stream scored by two versions: the second is published after the first half of the rows, by a refit that finds the same model."""
+    model, sets = fitted(spark, sf, "naive_bayes")
+    inbox, root, path = make_folder(spark, scratch_path(spark, "to-score")), scratch_path(spark, "versions"), scratch_path(spark, "scored")
+    rows = M.split(M.prepare_multiclass(stored_gold(spark, sf), features=NUMERIC, keep=["flow_key"], weighted=False).data, ["flow_key"], 0.8, SEED)[1]
+    stream = table_stream(spark, inbox, rows.schema)
+    for half in (0, 1):
+        scoring.publish(spark, model, root)
+        rows.filter(F.col("flow_key") % 2 == half).write.mode("append").parquet(inbox)
+        scoring.start_scoring(stream, root, path, f"{path}-checkpoint", sets.labels, ["flow_key"]).awaitTermination()
+    return scoring.read_scored(spark, path).groupBy("model_version", "predicted_class").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("cv_folds", with_gold(f""", {_CLASS_TABLE}
+select label, cast(floor({draw('flow_key', SEED + 2)} * 3 / 4294967296) as integer) as fold, count(*) as n
+from gold join classes on name = Attack_type where {TRAIN} group by 1, 2"""))
+def cv_folds(spark, sf):
+    """Rows per class and fold of a three-fold search: a key's rows share a fold, on every layout."""
+    sets = M.training_set(stored_gold(spark, sf), ["flow_key"], features=NUMERIC, seed=SEED, persist=False)
+    fold = models.fold_of(F.col(M.FOLD_DRAW), 3)
+    return sets.train.groupBy("label", fold.alias("fold")).agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("score", _BAYES_SCORED + """
 select c.name as predicted_class, count(*) as n from best join classes c on c.label = prediction group by 1""")
 def score(spark, sf):

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from flowlake.operators import drift
 from flowlake.operators.monitor import topic_totals
 from flowlake.plans.catalog import query
 from flowlake.plans.cleaning import _MEANS, class_means
@@ -16,7 +17,12 @@ from flowlake.session import scratch_path
 from flowlake.sources.adapters import event_records, flow_projection, raw_projection, table
 from flowlake.sources.messages import envelope_schema, payloads, table_stream, to_messages, enrich
 from flowlake.streaming import live as L
-from flowlake.streaming.layers import Layout, run_layers, start_sink
+from flowlake.streaming import outbox
+from flowlake.streaming.commits import hadoop, make_folder
+from flowlake.streaming.exact import start_exact
+from flowlake.streaming.layers import Layout, run_layers, silver_rows, start_sink
+from flowlake.streaming.rate import live_rate
+
 
 def _stream(spark, sf, name):
     # A glob, because a supplied table may be a folder or a single file and the source takes no file.
@@ -64,7 +70,7 @@ select flow_key, tcp_ack, tcp_len, tcp_srcport, case when source_ip = 'unknown'
   Attack_type, Attack_label from clean"""))
 def stream_silver(spark, sf):
     layout = _layers(spark, sf, "silver")
-    return spark.read.parquet(layout.table("silver")).select(
+    return silver_rows(spark, layout, _flow_schema(spark, sf)).select(
         "flow_key", "tcp_ack", "tcp_len", "tcp_srcport", "ip_src_host", "Attack_type", "Attack_label"
     )
 
@@ -76,9 +82,13 @@ def stream_gold(spark, sf):
 
 @query("stream_dedup", "select event_type as attack_type, count(*) as n, sum(event_id)::bigint as sum_id from events group by 1")
 def stream_dedup(spark, sf):
-    feed = L.feed_dedup(event_records(_stream(spark, sf, "events")), ["event_id"], "ts")
-    path = scratch_path(spark, "feed")
-    start_sink(feed, path, f"{path}-checkpoint").awaitTermination()
+    """Sent in two halves a restart apart, the second of which repeats part of the first; the state forgets a key after a second."""
+    path, inbox = scratch_path(spark, "feed"), make_folder(spark, scratch_path(spark, "inbox"))
+    feed = event_records(table(spark, sf, "events"))
+    stream = table_stream(spark, inbox, feed.schema)
+    for half in ("event_id % 2 = 0", "event_id % 2 = 1 or event_id % 10 = 0"):
+        feed.filter(half).write.mode("append").parquet(inbox)
+        start_exact(stream, ["event_id"], "ts", path, f"{path}-checkpoint", ttl="1 second", skew="0 seconds").awaitTermination()
     return spark.read.parquet(path).groupBy("attack_type").agg(
         F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("sum_id")
     )
@@ -143,6 +153,68 @@ def rate_windows_hourly(spark, sf):
     return L.message_rate(table(spark, sf, "events"), "ts", span=3600, block=7200, idle=False)
 
 
+@query("stream_rate", """
+""" + _ticks(60))
+def stream_rate(spark, sf):
+    """The same numbers as ``rate_windows``, from a stream that is stopped and started again between thirds of the time."""
+    events = table(spark, sf, "events").select(F.col("ts").cast("timestamp").alias("ts"), F.lit(False).alias("beat")).filter("ts is not null")
+    first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    inbox, path = make_folder(spark, scratch_path(spark, "ticks-in")), scratch_path(spark, "ticks")
+    third = (last - first) / 3
+    slices = [events.filter(F.col("ts") < first + third), events.filter((F.col("ts") >= first + third) & (F.col("ts") < first + 2 * third)),
+              events.filter(F.col("ts") >= first + 2 * third)]
+    # The last word is a heartbeat: the feed's clock two seconds after the last message, which closes that message's second.
+    slices.append(events.agg(F.max("ts").alias("ts")).select((F.col("ts") + F.expr("interval 2 seconds")).alias("ts"), F.lit(True).alias("beat")))
+    stream = table_stream(spark, inbox, events.schema)
+    for part in slices:
+        part.write.mode("append").parquet(inbox)
+        rates = live_rate(stream, "ts", "1 second", heartbeat=F.col("beat"))
+        start_sink(rates, path, f"{path}-checkpoint").awaitTermination()
+    return spark.read.parquet(path)
+
+
+@query("stream_messages", """
+with m as (select concat('10.1.0.', cast(user_id % 250 as varchar)) as k, * from events union all
+  select concat('10.1.0.', cast(user_id % 250 as varchar)), * from events where event_id % 10 = 0)
+select k as "key", count(*) as n, sum(event_id)::bigint as sum_id, round(sum("value"), 4) as sum_value, 1::bigint as partitions from m group by 1""")
+def stream_messages(spark, sf):
+    """Messages in a topic after the sender was lost between sending a batch and noting it, and sent it again."""
+    topic = scratch_path(spark, "topic")
+    checkpoint = f"{topic}-checkpoint"
+    feed = event_records(_stream(spark, sf, "events"))
+    outbox.start_messages(to_messages(feed), topic, checkpoint).awaitTermination()
+    files, last = hadoop(spark, f"{checkpoint}/commits/0")
+    files.delete(last, False)  # batch 0 counts as not done
+    outbox.start_messages(to_messages(feed), topic, checkpoint).awaitTermination()
+    body = F.from_json("value", "event_id long, value double")
+    sent = outbox.once(outbox.read_topic(spark, topic)).select("key", "partition", body.alias("b"))
+    return sent.groupBy("key").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("b.event_id").alias("sum_id"), F.round(F.sum("b.value"), 4).alias("sum_value"),
+        F.count_distinct("partition").alias("partitions"))
+
+
+@query("drift_ledger", """
+with k(field, "type", status, cond) as (values ('flow_id', 'STRING', 'known', 'all'), ('attack_type', 'STRING', 'known', 'all'),
+  ('source_ip', 'BIGINT', 'retyped', 'all'), ('tcp.ack', 'DOUBLE', 'known', 'ack'), ('tcp.ack', 'STRING', 'retyped', 'text'),
+  ('geo', 'OBJECT', 'unknown', '7'), ('retries', 'BIGINT', 'unknown', '11')),
+e as (select event_id, event_id % 13 = 0 as text from events where event_id % 17 <> 0)
+select field, "type", status, count(*) as n from k join e on cond = 'all' or (cond = 'ack' and not text) or (cond = 'text' and text)
+  or (cond = '7' and event_id % 7 = 0) or (cond = '11' and event_id % 11 = 0) group by 1, 2, 3""")
+def drift_ledger(spark, sf):
+    """Fields and types of a stream's messages against the schema; one message in 17 is no object."""
+    number = F.col("event_id")
+    plain = {"flow_id": number.cast("string"), "attack_type": F.col("event_type"), "source_ip": F.col("user_id"),
+             "geo": F.when(number % 7 == 0, F.struct(F.lit("x").alias("country"))), "retries": F.when(number % 11 == 0, number)}
+    as_number = F.to_json(F.struct(*[c.alias(n) for n, c in plain.items()], (number + 0.5).alias("tcp.ack")))
+    as_text = F.to_json(F.struct(*[c.alias(n) for n, c in plain.items()], F.lit("n/a").alias("tcp.ack")))
+    text = F.when(number % 17 == 0, F.lit("[1]")).when(number % 13 == 0, as_text).otherwise(as_number)
+    schema = envelope_schema(T.StructType([T.StructField("tcp.ack", T.DoubleType())]))
+    path = scratch_path(spark, "ledger")
+    payload = _stream(spark, sf, "events").select(text.alias("json_payload"))
+    drift.start_ledger(payload, schema, path, f"{path}-checkpoint").awaitTermination()
+    return drift.read_ledger(spark, path).select("field", "type", "status", "n")
+
+
 @query("recent_k", """
 select event_id, user_id, event_type, value from events order by ts desc, event_id desc limit 50""")
 def recent_k(spark, sf):

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from flowlake.operators import profiles as P
 from flowlake.operators import quality as Q
 from flowlake.operators.features import FEATURE_NAMES
 from flowlake.plans.catalog import query
 from flowlake.plans.cleaning import stored_gold
 from flowlake.plans.sql import union, with_flows, with_gold
+from flowlake.session import scratch_path
 from flowlake.sources.adapters import flows
 
 FLOAT_COLUMNS = ["tcp_ack", "tcp_seq", "tcp_len", "tcp_flags", "tcp_checksum", "tcp_connection_syn",
@@ -110,7 +112,7 @@ def dq_infinity(spark, sf):
     return Q.infinities(flows(spark, sf))
 
 
-@query("dq_report", with_flows("select \"check\", item, metric, round(value, 4) as value from (" + union(
+_REPORT = with_flows("select \"check\", item, metric, round(value, 4) as value from (" + union(
     ["select 'basic' as \"check\", 'table' as item, 'total_rows' as metric, count(*)::double as value from flows",
      "select 'basic', 'table', 'total_columns', 16"]
     + [f"select 'missing', column_name, 'missing_count', missing_count from ({_MISSING})",
@@ -123,7 +125,10 @@ def dq_infinity(spark, sf):
         ("duplicate_rows", "total_rows - distinct_rows"),
         ("duplicate_pct", _pct("total_rows - distinct_rows", "total_rows"))]]
     + [f"select 'classes', concat(column_name, '=', class_value), '{m}', \"{m}\" from ({_CLASSES})"
-       for m in ["count", "percentage"]]) + ")"))
+       for m in ["count", "percentage"]]) + ")")
+
+
+@query("dq_report", _REPORT)
 def dq_report(spark, sf):
     df = Q.report(flows(spark, sf), ["Attack_label", "Attack_type"], digits=4)
     return df.withColumn("value", F.round("value", 4))
@@ -147,3 +152,41 @@ select count(*) as total_rows, 16::bigint as total_columns, count(distinct Attac
   sum({_GAPS})::bigint as missing_cells, {_pct(f'sum({_GAPS})', 'count(*) * 16')} as missing_pct from flows"""))
 def eda_kpi(spark, sf):
     return Q.table_kpi(flows(spark, sf), "Attack_type")
+
+
+def _profiled(spark, sf):
+    """Profiles by year of a table that grew after its first profile; the second update reads the years that came."""
+    source, profile = scratch_path(spark, "by-year"), scratch_path(spark, "profile")
+    rows = flows(spark, sf).withColumn("ingest_year", F.year("event_time"))
+    for part in ("ingest_year < 1996", "ingest_year >= 1996 or ingest_year is null"):
+        rows.filter(part).write.mode("append").partitionBy("ingest_year").parquet(source)
+        P.update(spark, source, profile, "ingest_year", ["Attack_label", "Attack_type"])
+    return profile, rows.drop("ingest_year").schema.fields
+
+
+@query("dq_report_merged", _REPORT)
+def dq_report_merged(spark, sf):
+    profile, fields = _profiled(spark, sf)
+    return P.report(spark, profile, fields, ["Attack_label", "Attack_type"], digits=4).withColumn("value", F.round("value", 4))
+
+
+@query("dq_stats_merged", with_flows(union(
+    f"select '{c}' as column_name, count(v) as n, round(avg(v), 4) as mean, round(stddev_samp(v), 4) as stddev, "
+    f"round(min(v), 4) as min_value, round(max(v), 4) as max_value from (select {_finite(c)} as v from flows)"
+    for c in _NUMBERS)))
+def dq_stats_merged(spark, sf):
+    profile, fields = _profiled(spark, sf)
+    df = P.numeric_stats(spark, profile, fields)
+    return df.select("column_name", "n", *[F.round(c, 4).alias(c) for c in df.columns[2:]])
+
+
+@query("dq_distinct_merged", with_flows(union(
+    f"select '{c}' as column_name, true as within from flows having count(*) > 0" for c in ALL_COLUMNS)))
+def dq_distinct_merged(spark, sf):
+    """Distinct counts from merged sketches, held against exact ones: all within 5 %, five standard errors."""
+    profile, fields = _profiled(spark, sf)
+    df = flows(spark, sf)
+    exact = df.agg(*[F.count_distinct(F.coalesce(F.col(f.name).cast("string"), F.lit(""))).alias(f.name) for f in fields]).first()  # one row
+    true = F.create_map(*[F.lit(x) for f in fields for x in (f.name, exact[f.name])])
+    near = F.abs(F.col("distinct_values") / true[F.col("column_name")] - 1) <= 0.05
+    return P.distinct_values(spark, profile, fields).select("column_name", near.alias("within"))

@@ -144,6 +144,26 @@ def layer_stats(spark, sf):
     return monitor.layer_stats(spark, _stored(spark, sf))
 
 
+@query("layer_counts", with_gold("""
+select 'Silver' as layer, count(*) as "rows", 16 as "columns", true as "exists", true as from_footers from gold
+union all select 'Gold', count(*), 21, true, true from gold
+union all select 'Bronze', null, null, false, false"""))
+def layer_counts(spark, sf):
+    return monitor.layer_counts(spark, _stored(spark, sf))
+
+
+_FIRST = ["source_ip", "dest_ip", "Attack_label", "flow_key", "event_time", "frame_time", "tcp_ack", "tcp_seq", "tcp_len", "tcp_flags",
+          "tcp_checksum", "tcp_connection_syn", "tcp_connection_fin", "tcp_connection_rst", "tcp_srcport"]
+
+
+@query("latest_wide", with_gold(f"""
+select {", ".join(_FIRST)}, '{",".join(_FIRST)}' as column_order from gold order by event_time desc, flow_key desc limit 20"""))
+def latest_wide(spark, sf):
+    """The newest rows of a table of 21 columns: 15 of them, the telling ones first."""
+    newest = monitor.latest_rows(stored_gold(spark, sf), "event_time", 20, ["flow_key"])
+    return newest.withColumn("column_order", F.lit(",".join(newest.columns)))
+
+
 @query("layer_freshness", with_clean("""
 select 'Silver' as layer, count(*) > 0 as "exists", true as aged, true as active_if_fresh from clean
 union all select 'Gold', true, true, true union all select 'Bronze', false, false, true"""))

@@ -31,7 +31,8 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet", merge_schema: bool = False,
                fallback: str | None = None) -> DataFrame:
-    """Scan a table. If its format is not available here, that is an error, unless ``fallback`` names a file format.
+    """Scan a table. If its format is not available here, or cannot make sense of the folder, that is an error, unless ``fallback``
+    names another format to try; if that fails too, the first error stands.
 
     A fallback reads all data files without the table's own log, so it is right only for tables that were never rewritten.
     """
@@ -41,10 +42,12 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet", merge_schem
     try:
         return load(fmt)
     except Exception as error:  # a missing connector surfaces as a Java or an analysis error
-        unavailable = "DATA_SOURCE_NOT_FOUND" in str(error) or "ClassNotFound" in str(error)
-        if fallback is None or fallback == fmt or not unavailable:
+        if fallback is None or fallback == fmt:
             raise
-        return load(fallback)
+        try:
+            return load(fallback)
+        except Exception:
+            raise error from None
 
 
 def read_first(spark: SparkSession, paths: list[str], fmt: str = "parquet") -> DataFrame:

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from flowlake.functions.safe import quoted
+from flowlake.streaming.commits import committed, exists, hadoop
+from flowlake.streaming.exact import recent_once
 
 
 def class_counts(df: DataFrame, label: str) -> DataFrame:
@@ -45,26 +47,26 @@ def message_rate(df: DataFrame, ts: str, span: int = 60, block: int = 3600, idle
 
     While fewer than ``span`` seconds have passed since the first message, the mean is over those. Rows are folded to
     seconds first. Time is then cut into blocks of ``block`` seconds that also get the tail of the block before, so the
-    running sum never needs all seconds in one task.
+    running sum never needs all seconds in one task. A busy second brings along the idle ones up to the next busy one, so no second is
+    made twice, and the block's window serves both the look ahead and the sum. On a stream see ``rate.live_rate``.
     """
     second = F.unix_seconds(F.col(ts).cast("timestamp"))
-    busy = df.select(second.alias("second")).filter("second is not null").groupBy("second").agg(
-        F.count(F.lit(1)).alias("n")
-    )
-    ends = busy.agg(F.min("second").alias("first"), F.max("second").alias("last"))
-    first, last = ends.select("first").scalar(), ends.select("last").scalar()
-    after = F.explode(F.sequence(F.lit(0), F.lit(span - 1 if idle else 0)))
-    ticks = busy.withColumn("_i", after).select(
-        (F.col("second") + F.col("_i")).alias("second"), F.when(F.col("_i") == 0, F.col("n")).otherwise(F.lit(0)).alias("n")
-    ).filter(F.col("second") <= last).groupBy("second").agg(F.sum("n").alias("n"))
-    passed = F.least(F.lit(span), F.col("second") - first + 1)
+    busy = df.select(second.alias("second")).filter("second is not null").groupBy("second").agg(F.count(F.lit(1)).alias("n"))
+    ends = busy.agg(F.struct(F.min("second").alias("first"), F.max("second").alias("last")).alias("ends")).scalar()
+    first, last = ends.getField("first"), ends.getField("last")
     own = F.floor(F.col("second") / block)
     later = F.floor((F.col("second") + span - 1) / block)
-    spread = ticks.select("second", "n", F.explode(F.sequence(own, later)).alias("_block"))
-    recent = Window.partitionBy("_block").orderBy("second").rangeBetween(-(span - 1), 0)
+    spread = busy.select("second", "n", F.explode(F.sequence(own, later)).alias("_block"))
+    in_block = Window.partitionBy("_block").orderBy("second")
+    if idle:
+        until = F.least(F.lead("second").over(in_block) - 1, F.col("second") + (span - 1), last)  # nulls are passed over
+        spread = spread.withColumn("_until", until).select(
+            "_block", "n", F.col("second").alias("_busy"), F.explode(F.sequence("second", "_until")).alias("second"))
+        spread = spread.withColumn("n", F.when(F.col("second") == F.col("_busy"), F.col("n")).otherwise(F.lit(0)))
+    recent = in_block.rangeBetween(-(span - 1), 0)
+    passed = F.least(F.lit(span), F.col("second") - first + 1)
     return (
-        spread.withColumn("window_count", F.sum("n").over(recent))
-        .filter(F.col("_block") == own)
+        spread.withColumn("window_count", F.sum("n").over(recent)).filter(F.col("_block") == own)
         .select("second", "n", "window_count", F.floor(F.col("window_count") / passed).alias("rate"))
     )
 
@@ -94,25 +96,18 @@ def start_recent(stream: DataFrame, ts: str, path: str, checkpoint: str, k: int
     return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
 
 
-def _folder(spark, path: str):
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
-
-
 def _forget(spark, path: str, number: int) -> None:
     """Remove the folder of an older batch."""
-    files, where = _folder(spark, f"{path}/batch={number}")
+    files, where = hadoop(spark, f"{path}/batch={number}")
     if number >= 0 and files.exists(where):
         files.delete(where, True)
 
 
 def read_latest(spark, path: str) -> DataFrame:
-    """The newest complete batch folder under ``path``; older ones are not opened."""
-    files, where = _folder(spark, path)
-    done = [
-        int(name.removeprefix("batch=")) for name in (f.getPath().getName() for f in files.listStatus(where))
-        if name.startswith("batch=") and files.exists(_folder(spark, f"{path}/{name}/_SUCCESS")[1])
-    ]
+    """The newest complete batch folder under ``path``; older ones are not opened, other folders are not ours."""
+    done = [n for n in committed(spark, path) if exists(spark, f"{path}/batch={n}/_SUCCESS")]
+    if not done:
+        raise FileNotFoundError(f"no batch has been completed under {path}")
     return spark.read.parquet(f"{path}/batch={max(done)}")
 
 
@@ -132,14 +127,17 @@ def attack_share(df: DataFrame, label: str, normal: str = "Normal") -> DataFrame
     return counts.withColumn("attack_pct", F.coalesce(F.round(share, 1), F.lit(0.0)))
 
 
-def feed_dedup(df: DataFrame, keys: list[str], ts: str, delay: str | None = None) -> DataFrame:
+def feed_dedup(df: DataFrame, keys: list[str], ts: str, delay: str | None = None, ttl: str = "1 day") -> DataFrame:
     """One row per key: (time, source, target) for the feed, ``flow_id`` for flows.
 
-    Without ``delay`` every key is remembered and no row is late. A ``delay`` bounds the state; rows that come later than
-    that are lost, see ``dropped_late``.
+    On a stream the state is bounded: a key is remembered for ``ttl`` after it arrived, and no row is late. A ``delay`` bounds it by the
+    rows' own times instead; rows that come later than that are lost, see ``dropped_late``. For tables that must not hold
+    a copy however late it comes, see ``exact.start_exact``.
     """
-    if not df.isStreaming or delay is None:
+    if not df.isStreaming:
         return df.dropDuplicates(keys)
+    if delay is None:
+        return recent_once(df, keys, ttl).select(*df.columns)
     return df.withWatermark(ts, delay).dropDuplicatesWithinWatermark(keys)
 
 

@@ -182,12 +182,11 @@ class TrainingSet:
 
 def training_set(df: DataFrame, keys: list[str], multiclass: bool = True, label: str | None = None,
                  features: list[str] | None = None, ratio: float = 0.8, seed: int = 42,
-                 sample_fraction: float | None = None, persist: bool = True, spread: int | None = None) -> TrainingSet:
+                 sample_fraction: float | None = None, persist: bool = True) -> TrainingSet:
     """Index, assemble, weight and split; both sides are persisted once for the many passes of a fit.
 
     ``sample_fraction`` thins the rows beforehand (hash based); by default every row is used. Rows keep a draw of their key
-    (``fold_draw``, independent of the split's), from which cross-validation makes folds that no key straddles. ``spread`` deals the
-    training rows over that many tasks by key, for tables in fewer files than there are cores.
+    (``fold_draw``, independent of the split's), from which cross-validation makes folds that no key straddles.
     """
     if sample_fraction is not None:
         df = df.filter(in_train([quoted(k) for k in keys], sample_fraction, seed + 1))
@@ -201,8 +200,6 @@ def training_set(df: DataFrame, keys: list[str], multiclass: bool = True, label:
         prepared = Prepared(add_weights(data, classes), classes, ["0.0", "1.0"], names)
     train, test = split(prepared.data, keys, ratio, seed)
     folding = draw([quoted(k) for k in keys], seed + 2)
-    if spread:
-        train = train.repartition(spread, *[quoted(k) for k in keys])
     train, test = train.withColumn(FOLD_DRAW, folding).drop(*keys), test.drop(*keys)
     if persist:
         train = train.persist(StorageLevel.MEMORY_AND_DISK)

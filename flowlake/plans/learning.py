@@ -188,7 +188,7 @@ def fitted(spark, sf, kind):
     gold = stored_gold(spark, sf)
     key = (tuple(sorted(gold.inputFiles())), kind)  # a layer that is written anew has other files
     if key not in _FITTED:
-        sets = M.training_set(gold, ["flow_key"], features=NUMERIC, seed=SEED, spread=spark.sparkContext.defaultParallelism)
+        sets = M.training_set(gold, ["flow_key"], features=NUMERIC, seed=SEED)
         model = models.tune(sets.train, kind, mode=MODE, parallelism=4)
         sets.release()
         _FITTED[key] = (model, sets)

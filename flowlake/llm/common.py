@@ -12,7 +12,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
 
 __all__ = ["WORD", "SPACE", "text_of", "words_of", "n_words_of", "packed", "unpacked", "materialise", "read_table",
-           "components", "running_start", "shuffle_parts", "Remembered"]
+           "components", "running_start", "shuffle_parts", "Memory", "text_blocks", "looked_up"]
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,25 +47,64 @@ def shuffle_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-class Remembered(dict):
-    """Values made once per key and kept in two generations of ``limit`` keys; keys in use move to the younger one."""
+class Memory:
+    """Values made many at a time and kept in two generations of about ``limit`` keys; keys in use move to the younger one."""
 
     def __init__(self, make, limit: int = 300_000):
-        super().__init__()
-        self.make, self.limit, self.old = make, limit, {}
-
-    def __missing__(self, key):
-        value = self.old.pop(key, None)
-        if value is None:
-            value = self.make(key)
-        self.keep(key, value)
-        return value
-
-    def keep(self, key, value) -> None:
-        if len(self) >= self.limit:
-            self.old = dict(self)
-            self.clear()
-        self[key] = value
+        self.make, self.limit, self.young, self.old = make, limit, {}, {}
+
+    def known(self, keys: set) -> dict:
+        """A dictionary that has all of ``keys``, and others."""
+        missing = keys - self.young.keys()
+        if missing and len(self.young) + len(missing) > self.limit:
+            self.old, self.young, missing = self.young, {}, keys
+        if missing:
+            ask = []
+            for key in missing:
+                value = self.old.get(key)
+                if value is None:
+                    ask.append(key)
+                else:
+                    self.young[key] = value
+            if ask:
+                self.young.update(zip(ask, self.make(ask)))
+        return self.young
+
+
+def text_blocks(ids, texts, size: int = 1 << 20):
+    """(ids, texts) of an Arrow batch in blocks of about ``size`` characters, so what is held as Python objects is bounded; null is empty."""
+    numbers, block, held = [], [], 0
+    for number, text in zip(ids, texts):
+        text = text.as_py() or ""
+        if block and held + len(text) > size:
+            yield numbers, block
+            numbers, block, held = [], [], 0
+        numbers.append(number.as_py())
+        block.append(text)
+        held += len(text)
+    if block:
+        yield numbers, block
+
+
+HOT_KEYS = 20_000
+HOT_ROWS = 10_000
+
+
+def looked_up(big: DataFrame, keys: list[str], small: DataFrame) -> DataFrame:
+    """Left join on ``keys``, unique in ``small`` and never null. ``big`` should be stored, it is read twice.
+
+    A key with 1/``HOT_KEYS`` of the rows of ``big`` (and ``HOT_ROWS`` of them) is hot; so there are at most ``HOT_KEYS`` of these, and their
+    rows of ``small`` are broadcast. The other keys are joined by exchange.
+    """
+    limit = max(HOT_ROWS, -(-big.count() // HOT_KEYS))
+    hot = materialise(big.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= limit).select(*keys), "hot")
+    if hot.isEmpty():
+        return big.join(small, keys, "left")
+    few = F.broadcast(materialise(small.join(F.broadcast(hot), keys).withColumn("_hot", F.lit(True)), "hot-rows"))
+    found = [c for c in small.columns if c not in keys]
+    tried = big.join(few, keys, "left")
+    rest = tried.filter("_hot is null").select(*big.columns).join(small, keys, "left")
+    return tried.filter("_hot").select(*big.columns, *found).unionByName(rest.select(*big.columns, *found))
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -4,9 +4,11 @@ Documents become tokens, end with a separator, and are cut into pieces of at mos
 longer. Full pieces are sequences of their own. The others are dealt at random over *problems* of about ``PIECES`` pieces;
 each problem is worked on by ``ISLANDS`` islands in separate tasks. An island keeps a population of packings (lists of
 groups). Crossover injects well-filled groups of one parent whole into another, removes the groups that held the same pieces,
-and best-fits the displaced pieces; mutation empties the worst groups. After every epoch the best packing of each island
-migrates to the next island of its problem, which takes it in place of its worst. The best packing of a problem stands; its
-groups that are not well filled leave their pieces to a last, smaller round of problems, so loose ends of all problems meet.
+and best-fits the displaced pieces; mutation empties the worst groups. An epoch ends
+after ``CHILDREN`` children, or ``STALE`` in a row that improve nothing, or at the proven minimum. Then the best packing of each island
+migrates to the next island of its problem, which takes it in place of its worst; the population is kept over epochs. The best packing of a
+problem stands; its groups that are not well filled leave their pieces to a last, smaller round of problems, so loose ends of all problems
+meet, and what that round finds is taken if it needs fewer groups.
 
 A piece travels as (number, length); texts and token arrays never move, and a problem's memory is bounded by ``PIECES``.
 All random choices are seeded by problem, island and epoch, so a lost task gives the same packing again.
@@ -28,67 +30,77 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowlake.llm.common import Remembered, materialise
+from flowlake.llm.common import Memory, materialise, text_blocks
 
 ROOM = 4096
 SEPARATOR = 1
 PIECES = 3000
 ISLANDS = 2
-EPOCHS = 2
-POPULATION = 4
-CHILDREN = 6
+EPOCHS = 3
+POPULATION = 8
+CHILDREN = 200
+STALE = 80
 FILLED = 0.995
-_CHUNK = re.compile(r"[^ \n]+").findall
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)").fullmatch
 
 
-class _Encoder:
+class Encoder:
     """Ids of texts as little-endian bytes, put together from remembered stretches without blanks.
 
     Encoding is exact stretch by stretch because this kind of tokenizer drops white space and never joins across it. A
-    plain word with closing marks is encoded as the word and the marks, which its pre-tokenizer parts as well.
+    plain word with closing marks is encoded as the word and the marks, which its pre-tokenizer parts as well. What a block of texts
+    has that is new is encoded in one call.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.stretches, self.words = Remembered(self._stretch), Remembered(self._ids)
+        self.stretches, self.words = Memory(self._stretches), Memory(self._ids)
 
-    def _ids(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    def _ids(self, texts: list[str]) -> list[bytes]:
+        encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, "<u4").tobytes() for e in encoded]
 
-    def _stretch(self, text: str) -> bytes:
-        plain = _PLAIN(text)
-        if not plain:
-            return self._ids(text)
-        return self.words[plain[1].lower()] + (self.words[plain[2]] if plain[2] else b"")
+    def _stretches(self, texts: list[str]) -> list[bytes]:
+        parts = [(m[1].lower(), m[2]) if (m := _PLAIN(t)) else (t, "") for t in texts]
+        known = self.words.known({w for pair in parts for w in pair})
+        return [known[a] + known[b] if b else known[a] for a, b in parts]
 
-    def text_ids(self, text: str) -> bytes:
-        return b"".join(map(self.stretches.__getitem__, _CHUNK(text)))
+    def split(self, text: str) -> list[str]:
+        return text.replace("\n", " ").split(" ")
+
+    def block_ids(self, texts: list[str]) -> list[bytes]:
+        split = [self.split(t) for t in texts]
+        known = self.stretches.known({s for stretches in split for s in stretches})
+        return [b"".join(map(known.__getitem__, stretches)) for stretches in split]
+
+    def block_counts(self, texts: list[str]) -> list[int]:
+        return [len(ids) // 4 for ids in self.block_ids(texts)]
 
 
 @functools.cache
-def _encoder(path: str) -> _Encoder:
-    return _Encoder(path)
+def encoder_of(path: str) -> Encoder:
+    return Encoder(path)
 
 
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
 def _pieces(batches, path: str, room: int):
-    encoder = _encoder(path)
+    encoder = encoder_of(path)
     end = np.array([SEPARATOR], "<u4").tobytes()
     for batch in batches:
         ids, pieces, starts, lengths, sums = [], [], [], [], []
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            data = encoder.text_ids(text.as_py() or "") + end
-            for k in range(0, len(data), 4 * room):
-                cut = data[k: k + 4 * room]
-                ids.append(doc_id)
-                pieces.append(k // (4 * room))
-                starts.append(k // 4)
-                lengths.append(len(cut) // 4)
-                sums.append(zlib.crc32(cut))
+        for numbers, texts in text_blocks(batch.column(0), batch.column(1)):
+            for doc_id, data in zip(numbers, encoder.block_ids(texts)):
+                data += end
+                for k in range(0, len(data), 4 * room):
+                    cut = data[k: k + 4 * room]
+                    ids.append(doc_id)
+                    pieces.append(k // (4 * room))
+                    starts.append(k // 4)
+                    lengths.append(len(cut) // 4)
+                    sums.append(zlib.crc32(cut))
         yield pa.RecordBatch.from_arrays(
             [pa.array(ids, pa.int64()), pa.array(pieces, pa.int32()), *(pa.array(x, pa.int64()) for x in (starts, lengths, sums))],
             names=["doc_id", "piece", "start", "length", "ids_crc32"])
@@ -153,8 +165,9 @@ def _mutate(groups, sizes, room: int, rng: random.Random):
     return _best_fit(rest[extra:], [i for _, g in order[:n] + rest[:extra] for i in g], sizes, room)
 
 
-def evolve(sizes: list[int], seeds: list[list[list[int]]], seed: str, room: int = ROOM, population: int = POPULATION, children: int = CHILDREN):
-    """The best packing found from ``seeds`` (packings as lists of groups) and fresh ones."""
+def evolve(sizes: list[int], seeds: list[list[list[int]]], seed: str, room: int = ROOM, population: int = POPULATION, children: int = CHILDREN,
+           stale: int = STALE) -> list[list[list[int]]]:
+    """The population after one epoch, best first, from that before (``seeds``: packings as lists of groups); fresh packings fill it up."""
     rng = random.Random(seed)
     least = -(-sum(sizes) // room)
     pool = [[(room - sum(sizes[i] for i in g), g) for g in groups] for groups in seeds]
@@ -170,44 +183,51 @@ def evolve(sizes: list[int], seeds: list[list[list[int]]], seed: str, room: int
                 groups.append((room - sizes[i], [i]))
         taken = set(some)
         pool.append(_best_fit(groups, [i for i in range(len(sizes)) if i not in taken], sizes, room))
-    pool.sort(key=lambda g: _cost(g, room))
+    pool = sorted(((_cost(g, room), g) for g in pool), key=lambda x: x[0])[:population]
+    idle = 0
     for _ in range(children):
-        if len(pool[0]) <= least:  # as few as there can be
+        if len(pool[0][1]) <= least or idle >= stale:  # as few as there can be, or no way on
             break
-        one, two = (pool[min(rng.randrange(len(pool)), rng.randrange(len(pool)))] for _ in range(2))
+        one, two = (pool[min(rng.randrange(len(pool)), rng.randrange(len(pool)))][1] for _ in range(2))
         child = _mutate(_cross(one, two, sizes, room, rng), sizes, room, rng)
-        if _cost(child, room) < _cost(pool[-1], room) or len(pool) < population:
-            pool = sorted([*pool[:population - 1], child], key=lambda g: _cost(g, room))
-    return [g for _, g in pool[0]]
+        cost = _cost(child, room)
+        idle = 0 if cost < pool[0][0] else idle + 1
+        if (cost < pool[-1][0] or len(pool) < population) and all(cost != c for c, _ in pool):
+            pool = sorted([*pool[:population - 1], (cost, child)], key=lambda x: x[0])
+    return [[g for _, g in groups] for _, groups in pool]
 
 
-def _island(table: pa.Table, room: int, epoch: int) -> pa.Table:
-    """One epoch of one island. Rows: its pieces (``group`` null) and, from the second epoch on, packings it starts from."""
+def _island(table: pa.Table, room: int, epoch: int, last: bool) -> pa.Table:
+    """One epoch of one island. Rows: its pieces (``packing`` -1) and, from the second epoch on, the packings it starts from.
+
+    Out come its population (``packing`` from 0, the best), or the best alone after the last epoch or at the minimum.
+    """
     frame = table.to_pandas()
     problem, island = int(frame["problem"].iloc[0]), int(frame["island"].iloc[0])
     own = frame[frame["packing"] < 0].sort_values(["length", "number"], ascending=[False, True])
-    numbers, sizes = own["number"].tolist(), own["length"].tolist()
-    place = {number: i for i, number in enumerate(numbers)}
+    numbers, sizes = own["number"].to_numpy(), own["length"].tolist()
+    place = {number: i for i, number in enumerate(numbers.tolist())}
     seeds = []
     for _, packing in frame[frame["packing"] >= 0].groupby("packing", sort=True):
         seeds.append([[place[x] for x in g] for g in packing.groupby("group")["number"].apply(list)])
-    best = evolve(sizes, seeds, f"{problem}/{island}/{epoch}", room)
-    number, group = [], []
-    for k, g in enumerate(best):
-        number += [numbers[i] for i in g]
-        group += [k] * len(g)
-    n = len(number)
-    length = dict(zip(numbers, sizes))
+    found = evolve(sizes, seeds, f"{problem}/{island}/{epoch}", room)
+    if last or len(found[0]) <= -(-sum(sizes) // room):
+        found = found[:1]
+    order = np.array([i for groups in found for g in groups for i in g], np.int64)
+    group = np.concatenate([np.repeat(np.arange(len(groups)), [len(g) for g in groups]) for groups in found])
+    n, each = len(order), len(sizes)
     return pa.table({
-        "problem": pa.array([problem] * n, pa.int64()), "island": pa.array([island] * n, pa.int32()), "number": pa.array(number, pa.int64()),
-        "length": pa.array([length[x] for x in number], pa.int64()), "group": pa.array(group, pa.int64())})
+        "problem": pa.array([problem] * n, pa.int64()), "island": pa.array([island] * n, pa.int32()),
+        "packing": pa.array(np.repeat(np.arange(len(found)), each), pa.int32()), "number": pa.array(numbers[order], pa.int64()),
+        "length": pa.array(np.array(sizes, np.int64)[order]), "group": pa.array(group, pa.int64())})
 
 
-def _islander(room: int, epoch: int):
-    return lambda table: _island(table, room, epoch)
+def _islander(room: int, epoch: int, last: bool):
+    return lambda table: _island(table, room, epoch, last)
 
 
-_PACKED = "problem long, island int, number long, length long, `group` long"
+_PACKED = "problem long, island int, packing int, number long, length long, `group` long"
+_MIGRANT = 1000  # a migrant's number among the packings of the island it comes to
 
 
 def solve(pieces: DataFrame, room: int, size: int, islands: int, epochs: int) -> DataFrame:
@@ -215,20 +235,27 @@ def solve(pieces: DataFrame, room: int, size: int, islands: int, epochs: int) ->
     problems = max(1, -(-pieces.count() // size))
     dealt = pieces.withColumn("problem", F.pmod(F.xxhash64("number", F.lit(11)), F.lit(problems)))
     start = dealt.withColumn("island", F.explode(F.sequence(F.lit(0), F.lit(islands - 1)))).select(
-        "problem", "island", "number", "length", F.lit(-1).alias("packing"), F.lit(None).cast("long").alias("group"))
-    rows = start
+        "problem", "island", F.lit(-1).alias("packing"), "number", "length", F.lit(None).cast("long").alias("group"))
+    rows, finished = start, None
     for epoch in range(epochs):
-        done = rows.groupBy("problem", "island").applyInArrow(_islander(room, epoch), _PACKED)
-        done = materialise(done, "islands")
-        if epoch + 1 < epochs and islands > 1:
-            # The elite stays and also migrates to the next island.
-            moved = done.withColumn("to", F.explode(F.array(F.col("island"), F.pmod(F.col("island") + 1, F.lit(islands)))))
-            rows = start.union(moved.select("problem", F.col("to").alias("island"), "number", "length", F.col("island").alias("packing"), "group"))
-        elif epoch + 1 < epochs:
-            rows = start.union(done.select("problem", "island", "number", "length", F.col("island").alias("packing"), "group"))
-    scores = done.groupBy("problem", "island").agg(F.max("group").alias("last"))
-    best = scores.groupBy("problem").agg(F.min_by("island", F.struct("last", "island")).alias("island"))
-    return done.join(best, ["problem", "island"]).drop("island")
+        done = materialise(rows.groupBy("problem", "island").applyInArrow(_islander(room, epoch, epoch + 1 == epochs), _PACKED), "islands")
+        scores = done.filter("packing = 0").groupBy("problem", "island").agg(
+            (F.max("group") + 1).alias("groups"), F.ceil(F.sum("length") / room).alias("least"))
+        best = materialise(scores.groupBy("problem").agg(
+            F.min_by("island", F.struct("groups", "island")).alias("island"), (F.min("groups") <= F.min("least")).alias("ready")), "best")
+        here = done.filter("packing = 0").join(best.filter("ready" if epoch + 1 < epochs else "true"), ["problem", "island"]).select(
+            "problem", "number", "length", "group")
+        finished = here if finished is None else finished.union(here)
+        open_ones = best.filter("not ready").select("problem")
+        if epoch + 1 == epochs or open_ones.isEmpty():
+            break  # nothing is left, or every problem is at its proven minimum
+        done, start = done.join(open_ones, "problem"), start.join(open_ones, "problem")
+        rows = start.union(done)
+        if islands > 1:  # the elite stays and also migrates to the next island
+            elite = done.filter("packing = 0").select("problem", F.pmod(F.col("island") + 1, F.lit(islands)).alias("island"),
+                                                      F.lit(_MIGRANT).alias("packing"), "number", "length", "group")
+            rows = rows.union(elite)
+    return finished
 
 
 def pack(pieces: DataFrame, room: int = ROOM, size: int = PIECES, islands: int = ISLANDS, epochs: int = EPOCHS) -> DataFrame:
@@ -239,9 +266,13 @@ def pack(pieces: DataFrame, room: int = ROOM, size: int = PIECES, islands: int =
     first = materialise(solve(short, room, size, islands, epochs), "packed")
     fill = first.groupBy("problem", "group").agg((F.sum("length") >= FILLED * room).alias("well"))
     judged = materialise(first.join(fill, ["problem", "group"]), "judged")
-    again = solve(judged.filter(~F.col("well")).select("number", "length"), room, size, islands, epochs)
-    packed = judged.filter("well").select(F.lit(1).alias("round"), "problem", "group", "number", "length").union(
-        again.select(F.lit(2).alias("round"), "problem", "group", "number", "length"))
+    loose = judged.filter(~F.col("well"))
+    ends = loose.select("problem", "group").distinct().count()
+    again = materialise(solve(loose.select("number", "length"), room, size, islands, epochs), "again") if ends > 1 else None
+    fewer = again is not None and again.select("problem", "group").distinct().count() < ends
+    packed = judged.filter("well" if fewer else "true").select(F.lit(1).alias("round"), "problem", "group", "number", "length")
+    if fewer:
+        packed = packed.union(again.select(F.lit(2).alias("round"), "problem", "group", "number", "length"))
     line = Window.partitionBy("round", "problem", "group").orderBy(F.desc("length"), "number")
     placed = packed.select(
         "number", F.first("number").over(line).alias("sequence_id"),

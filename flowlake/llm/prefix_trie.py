@@ -15,7 +15,7 @@ more prefixes are grouped, and the result is the same.
 Sums over subtrees need no walk down the tree. Each node has its smallest member for a name; the nodes that carry a conversation's name
 are the end of its path. So leaves and savings of a name count for all earlier prefixes of that conversation, and one grouping by
 key adds them up. Joins that would meet a hot key (a node with many children, a conversation with many turns) look the hot
-keys up in a broadcast table, whose rows are counted: a key is hot only if it holds 1/``HOT_KEYS`` of the rows.
+keys up in a broadcast table, whose rows are counted (``common.looked_up``).
 The members that end at a node are sorted by range, joined to blocks of numbers, and only the blocks of one node are
 hashed in order.
 
@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowlake.functions.ordered import ROWS_PER_PART, running_totals
-from flowlake.llm.common import materialise, shuffle_parts, text_of
+from flowlake.llm.common import looked_up, materialise, shuffle_parts, text_of
 
 PRIME = (1 << 127) - 1
 BASE = 0x2545F4914F6CDD1D_9E3779B97F4A7C15 % PRIME
@@ -44,8 +44,6 @@ CELLS = 1 << 24
 ROWS = 3
 BLOCK = 1 << 12
 PER_SKETCH = 1 << 23
-HOT_KEYS = 20_000
-HOT_ROWS = 10_000
 IDS = 1 << 15
 ROOT = bytes(16)
 NOTHING = hashlib.sha256(b"").hexdigest()
@@ -232,18 +230,6 @@ def screened(chain: DataFrame, edges: Edges, rows: int) -> DataFrame:
     return materialise(chain.mapInArrow(run, SCREENED), "screened")
 
 
-def looked_up(big: DataFrame, key: str, small: DataFrame) -> DataFrame:
-    """Left join on ``key``, unique in ``small``. Keys with a large share of ``big``, at most ``HOT_KEYS``, are broadcast."""
-    limit = max(HOT_ROWS, -(-big.count() // HOT_KEYS))
-    hot = materialise(big.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= limit).select(key), "hot")
-    if hot.isEmpty():
-        return big.join(small, key, "left")
-    few = F.broadcast(materialise(small.join(F.broadcast(hot), key).withColumn("_hot", F.lit(True)), "hot-rows"))
-    tried = big.join(few, key, "left")
-    rest = tried.filter("_hot is null").select(*big.columns).join(small, key, "left")
-    return tried.filter("_hot").drop("_hot").unionByName(rest)
-
-
 def _blocks(batches):
     """Sorted (x, c) -> blocks of at most ``IDS`` numbers of one node, as text."""
     def row(x, ids):
@@ -315,7 +301,7 @@ def trie(rows: DataFrame, parts: int | None = None) -> DataFrame:
     tails = single.filter("last").select("c", F.lit(0).cast("long").alias("w"), F.lit(None).cast("long").alias("named_from"), F.lit(1).cast("long").alias("leaf"))
     per_conv = chains.union(tails).groupBy("c").agg(F.sum("w").alias("w"), F.min("named_from").alias("named_from"), F.max("leaf").alias("leaf"))
     per_conv = materialise(per_conv.filter("w > 0 or leaf > 0"), "named")
-    paths = looked_up(grouped.select("x", "c", "d"), "c", per_conv)
+    paths = looked_up(grouped.select("x", "c", "d"), ["c"], per_conv)
     sums = paths.groupBy("x").agg(F.sum("leaf").alias("n_leaves"), F.sum(F.when(F.col("d") < F.col("named_from"), F.col("w"))).alias("below"))
     along = running_totals(worth, ["c"], ["d"], ["w"]).select(
         F.col("c").alias("conv_id"), F.col("d").alias("depth"), (F.col("w_total") - F.col("w_before")).alias("along"))
@@ -323,7 +309,7 @@ def trie(rows: DataFrame, parts: int | None = None) -> DataFrame:
     names = nodes.select(F.col("x").alias("px"), F.col("conv_id").alias("parent"))
     seekers = nodes.select("px", "conv_id", "depth", F.col("x")).union(
         single.filter(~F.col("palone")).select("px", F.col("c").alias("conv_id"), F.col("d").alias("depth"), F.lit(None).cast("binary").alias("x")))
-    found = materialise(looked_up(seekers.filter("depth > 0"), "px", names).select(
+    found = materialise(looked_up(seekers.filter("depth > 0"), ["px"], names).select(
         "x", "conv_id", "depth", F.coalesce("parent", "conv_id").alias("parent_conv_id")), "parents")
 
     whole = (

@@ -24,21 +24,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlake.llm.common import Remembered, materialise, text_of
-from flowlake.llm.packing import _encoder
+from flowlake.llm.common import Memory, materialise, text_blocks, text_of
+from flowlake.llm.packing import Encoder
 from flowlake.session import scratch_path
 
 GROUP = ["source", "lang", "version"]
 DELTA = "source string, lang string, version string, docs long, tokens long"
 _STRETCH = re.compile(r" ?[^\s]+|\s+(?!\S)|\s+").findall
+_CUT = "\x00"
 _ODD_BLANKS = re.compile("[\x1c-\x1f\x85]").search
 
 
 class _RankCounts:
     """Token counts of texts under a byte-level vocabulary, added up from remembered stretches.
 
-    The stretches are unions of the vocabulary's own pre-tokens (a word with the blank before it, or a run of white space), so
-    counts add up exactly. Where Python's idea of white space is another one, the text is encoded as a whole.
+    The stretches are unions of the vocabulary's own pre-tokens (a word with the blank before it and what follows up to the next blank, or a
+    run of white space), so counts add up exactly. Where Python's idea of white space is another one, the text is encoded as a whole.
     """
 
     def __init__(self, path: str, pattern: str):
@@ -46,15 +47,25 @@ class _RankCounts:
         with open(path, "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.encoding = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-        self.stretches = Remembered(self._count)
+        self.stretches = Memory(self._counts)
 
-    def _count(self, text: str) -> int:
-        return len(self.encoding.encode_ordinary(text))
+    def _counts(self, texts: list[str]) -> list[int]:
+        encode = self.encoding.encode_ordinary
+        return [len(encode(t)) for t in texts]
 
-    def of(self, text: str) -> int:
+    def split(self, text: str) -> list[str] | None:
+        """None if the text has to be taken whole."""
         if _ODD_BLANKS(text):
-            return self._count(text)
-        return sum(map(self.stretches.__getitem__, _STRETCH(text)))
+            return None
+        if "  " in text or text.endswith(" ") or _CUT in text:
+            return _STRETCH(text)
+        return text.replace(" ", _CUT + " ").split(_CUT)  # single blanks: each begins a pre-token
+
+    def block_counts(self, texts: list[str]) -> list[int]:
+        split = [self.split(t) for t in texts]
+        known = self.stretches.known({s for stretches in split if stretches is not None for s in stretches})
+        count = known.__getitem__
+        return [self._counts([t])[0] if stretches is None else sum(map(count, stretches)) for t, stretches in zip(texts, split)]
 
 
 @functools.cache
@@ -62,12 +73,25 @@ def _ranks(path: str, pattern: str) -> _RankCounts:
     return _RankCounts(path, pattern)
 
 
+class _IdCounts(Encoder):
+    """Counts only: a stretch is remembered as the number of its ids, so no ids are put together."""
+
+    def __init__(self, path: str):
+        super().__init__(path)
+        self.lengths = Memory(lambda texts: [len(ids) // 4 for ids in self._stretches(texts)])
+
+    def block_counts(self, texts: list[str]) -> list[int]:
+        split = [self.split(t) for t in texts]
+        count = self.lengths.known({s for stretches in split for s in stretches}).__getitem__
+        return [sum(map(count, stretches)) for stretches in split]
+
+
+_id_counts = functools.cache(_IdCounts)
+
+
 def _counter(path: str, pattern: str | None):
-    """A function text -> number of tokens, for a vocabulary file."""
-    if path.endswith(".tiktoken"):
-        return _ranks(path, pattern).of
-    encoder = _encoder(path)
-    return lambda text: len(encoder.text_ids(text)) // 4
+    """A function texts -> numbers of tokens, for a vocabulary file."""
+    return (_ranks(path, pattern) if path.endswith(".tiktoken") else _id_counts(path)).block_counts
 
 
 def token_counts(docs: DataFrame, tokenizers: dict[str, tuple[str, str | None]]) -> DataFrame:
@@ -81,10 +105,9 @@ def token_counts(docs: DataFrame, tokenizers: dict[str, tuple[str, str | None]])
         counters = [_counter(*tokenizers[v]) for v in versions]
         for batch in batches:
             counts = [[] for _ in versions]
-            for text in batch.column(4):
-                text = text.as_py()
+            for _, texts in text_blocks(batch.column(3), batch.column(4)):
                 for out, count in zip(counts, counters):
-                    out.append(count(text))
+                    out += count(texts)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:4], *(pa.array(c, pa.int64()) for c in counts)],
                 names=["doc_id", "source", "lang", "text_hash", *(f"n{i}" for i in range(len(versions)))])
@@ -124,48 +147,66 @@ class Rollup:
         names = [x.getPath().getName() for x in files.listStatus(top)]
         return sorted(n for n in names if files.exists(self._hadoop(f"{self.path}/{kind}/{n}/_SUCCESS")))
 
-    def _snapshot(self) -> tuple[str | None, set[str]]:
-        """The newest snapshot and the batches it holds."""
-        done = set(self._done("snapshots")) & set(self._done("held"))  # the list of batches is written last
-        if not done:
-            return None, set()
-        last = max(done, key=int)
-        held = self.spark.read.schema("batch string").parquet(f"{self.path}/held/{last}").collect()  # names of batches
-        return last, {r["batch"] for r in held}
-
-    def applied(self) -> set[str]:
-        return set(self._done("deltas")) | self._snapshot()[1]
+    def _snapshot(self) -> int:
+        """Number of the newest complete snapshot; 0 before the first."""
+        done = set(self._done("snapshots")) & set(self._done("held"))  # the names of the batches are written last
+        return max(map(int, done), default=0)
+
+    def _held(self, number: int, names: list[str]) -> set[str]:
+        """Which of ``names`` a snapshot holds. It may hold very many batches; only those asked for come back."""
+        if not number or not names:
+            return set()
+        held = self.spark.read.schema("batch string").parquet(f"{self.path}/held/{number}")
+        return {r["batch"] for r in held.filter(F.col("batch").isin(names)).collect()}
+
+    def _loose(self) -> tuple[int, list[str], list[str]]:
+        """The newest snapshot, the committed batches it does not hold, and those it does whose folders are still there."""
+        while True:
+            number, names = self._snapshot(), self._done("deltas")
+            held = self._held(number, names)
+            if self._snapshot() == number:  # else one was completed meanwhile: look again
+                return number, [n for n in names if n not in held], sorted(held)
+
+    def applied(self, batch: str) -> bool:
+        name = quote(batch, safe="")
+        return name in self._done("deltas") or bool(self._held(self._snapshot(), [name]))
 
     def apply(self, batch: str, changed: DataFrame) -> bool:
         """Commit a batch of changes; False if it was committed before."""
-        name = quote(batch, safe="")
-        if name in self.applied():
+        if self.applied(batch):
             return False
         sign = F.col("sign").cast("long")
         delta = changed.groupBy(*GROUP).agg(F.sum(sign).alias("docs"), F.sum(sign * F.col("tokens")).alias("tokens"))
-        delta.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/deltas/{name}")
+        delta.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/deltas/{quote(batch, safe='')}")
         return True
 
-    def totals(self) -> DataFrame:
-        """source, lang, version, docs, tokens."""
-        last, held = self._snapshot()
-        paths = [f"{self.path}/deltas/{n}" for n in self._done("deltas") if n not in held]
-        paths += [f"{self.path}/snapshots/{last}"] if last else []
+    def _sum(self, number: int, names: list[str]) -> DataFrame:
+        paths = [f"{self.path}/deltas/{n}" for n in names] + ([f"{self.path}/snapshots/{number}"] if number else [])
         if not paths:
             return self.spark.createDataFrame([], DELTA)
         deltas = self.spark.read.schema(DELTA).parquet(*paths)
         return deltas.groupBy(*GROUP).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens")).filter("docs <> 0 or tokens <> 0")
 
+    def totals(self) -> DataFrame:
+        """source, lang, version, docs, tokens."""
+        number, names, _ = self._loose()
+        return self._sum(number, names)
+
     def compact(self) -> None:
-        """Fold all committed deltas into a new snapshot; the folded folders are only removed once it is complete."""
-        last, held = self._snapshot()
-        folded = self._done("deltas")
-        number = str(int(last or 0) + 1)
-        self.totals().coalesce(1).write.mode("overwrite").parquet(f"{self.path}/snapshots/{number}")
-        self.spark.createDataFrame([(n,) for n in sorted(held | set(folded))], "batch string").coalesce(1).write.mode("overwrite").parquet(
-            f"{self.path}/held/{number}")
-        for n in folded:
-            self._files().delete(self._hadoop(f"{self.path}/deltas/{n}"), True)
+        """Fold the batches committed by now into a new snapshot; later ones are left alone.
+
+        Their folders, and the snapshot before, stay until the next compaction, so totals that were asked for meanwhile can be read.
+        One compaction runs at a time.
+        """
+        number, names, held = self._loose()
+        new = str(number + 1)
+        self._sum(number, names).coalesce(1).write.mode("overwrite").parquet(f"{self.path}/snapshots/{new}")
+        batches = self.spark.createDataFrame([(n,) for n in names], "batch string")
+        if number:
+            batches = self.spark.read.schema("batch string").parquet(f"{self.path}/held/{number}").union(batches)
+        batches.write.mode("overwrite").parquet(f"{self.path}/held/{new}")
+        for folder in [*(f"deltas/{n}" for n in held), *(f"{kind}/{number - 1}" for kind in ("held", "snapshots") if number > 1)]:
+            self._files().delete(self._hadoop(f"{self.path}/{folder}"), True)
 
 
 def _life(docs: DataFrame, tokenizers: dict[str, tuple[str, str | None]], room: int) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:

@@ -11,7 +11,7 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 
-from flowlake.llm import periodic_runs, personal_data, prefix_trie
+from flowlake.llm import common, periodic_runs, personal_data, prefix_trie
 from odd import LONG, ROWS, clashing, documents
 
 SMALL = "/root/testdata/sf0.001"
@@ -229,7 +229,8 @@ def test_trie_of_rebuilt_conversations(spark):
 def test_trie_cut_by_task_edges_and_hot_keys(spark, monkeypatch):
     """Many tasks per conversation, all keys hot, short blocks of numbers, and a sketch so small that it proves little."""
     rows = chats(2)
-    for name, value in (("HOT_ROWS", 20), ("IDS", 3), ("CELLS", 1 << 12)):
+    monkeypatch.setattr(common, "HOT_ROWS", 20)
+    for name, value in (("IDS", 3), ("CELLS", 1 << 12)):
         monkeypatch.setattr(prefix_trie, name, value)
     got = nodes(prefix_trie.trie(prefix_trie.as_they_are(prefix_trie.own_turns(conversations(spark, rows))), parts=40))
     assert got == plain_trie(rows, rebuild=False)

@@ -12,8 +12,12 @@ shared out again by weight until no target is above its limit. The mix is a sche
 * A source's documents are shuffled by a hash of their id, laid end to end and cut into blocks; a document lies in one or
   more blocks and is taken as often as slots take its parts, so at most ``MOST`` times.
 
+The schedule is the order of the mix: a document comes where its first block does (``slots``, one entry per time the block is taken), and
+``mixed`` lays out documents, and each repetition of one, in that order.
+
 Sources are dealt over hash buckets for the token positions and over stretches for the ranks, so no task holds a source.
 The driver sees one row per source; thus the number of sources must be moderate (it is a list of targets, not of data).
+``block`` (tokens per slot) is a parameter and does not follow the size of the table.
 
 Defined results: null text has size 0 and is taken 0 times; a null source is a source of its own, ordered last; rows that
 repeat id, source and size are shared alike (the first ones take the remainder); without any token, targets are 0.
@@ -26,7 +30,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowlake.llm.common import materialise, n_words_of, packed, running_start, unpacked
+from flowlake.llm.common import materialise, n_words_of, packed, running_start, shuffle_parts, unpacked
 
 WEIGHTS = [5.0, 2.0, 1.0]
 MOST = 3
@@ -111,15 +115,11 @@ def schedule(aims: DataFrame, block: int) -> DataFrame:
     return placed.select("slot", "number", "block_no", "epoch", F.least((F.col("block_no") + 1) * block, here).alias("upto"))
 
 
-def block_size(aims: DataFrame, most: int = BLOCK) -> int:
-    """Tokens per slot: ``most``, less where the tables are small, so that the schedule has some thousand slots."""
-    total = sum(r["source_size"] for r in aims.collect())
-    return max(1, min(most, total >> 13))
-
+def mix(sized: DataFrame, aims: DataFrame, seed: int = 17, block: int = BLOCK) -> DataFrame:
+    """``sized`` (doc_id, source, size) -> one row per input row: doc_id, source, size, source_size, target, taken, slots.
 
-def mix(sized: DataFrame, aims: DataFrame, seed: int = 17, block: int | None = None) -> DataFrame:
-    """``sized`` (doc_id, source, size) -> one row per input row: doc_id, source, size, source_size, target, taken."""
-    block = block or block_size(aims)
+    ``slots``: where in the schedule the document's first block is taken, in order; null if it is not.
+    """
     aims = F.broadcast(aims)  # one row per source
     units = sized.groupBy("doc_id", "source", "size").agg(F.count(F.lit(1)).alias("times"))
     units = units.join(aims, units["source"].eqNullSafe(aims["source"])).drop(aims["source"])
@@ -130,23 +130,36 @@ def mix(sized: DataFrame, aims: DataFrame, seed: int = 17, block: int | None = N
     pieces = units.filter("mass > 0").select(
         "doc_id", "source", "size", "number", "start", "mass",
         F.explode(F.sequence(F.floor(F.col("start") / block), F.floor((F.col("start") + F.col("mass") - 1) / block))).alias("block_no"))
-    # Blocks are taken a few times each: fold the slots, keeping how many take the block whole and how far the last one goes.
+    # Blocks are taken a few times each: fold the slots, keeping which take the block whole and how far the last one goes.
     end = F.least((F.col("block_no") + 1) * block, F.col("source_size"))
     slots = schedule(aims, block).join(aims.select("number", "source_size"), "number")
     slots = slots.groupBy("number", "block_no").agg(
         F.sum((F.col("upto") >= end).cast("long")).alias("whole"),
-        F.max(F.when(F.col("upto") < end, F.col("upto"))).alias("partly"))
+        F.max(F.when(F.col("upto") < end, F.col("upto"))).alias("partly"),
+        F.array_sort(F.collect_list(F.struct("slot", "upto"))).alias("takers"))  # MOST + 1 at most
     low = F.greatest(F.col("start"), F.col("block_no") * block)
     high = F.least(F.col("start") + F.col("mass"), (F.col("block_no") + 1) * block)
     part = F.greatest(F.lit(0), F.least(F.coalesce("partly", F.lit(0)), high) - low)
+    first = F.when(F.col("block_no") == F.floor(F.col("start") / block),
+                   F.transform(F.filter("takers", lambda x: x["upto"] > F.col("start")), lambda x: x["slot"]))
     taken = pieces.join(slots, ["number", "block_no"]).groupBy("doc_id", "source", "size").agg(
-        F.sum(F.col("whole") * (high - low) + part).alias("taken"))
-    taken = taken.select(*[F.col(c).alias(f"_{c}") for c in ("doc_id", "source", "size")], "taken")
+        F.sum(F.col("whole") * (high - low) + part).alias("taken"), F.max(first).alias("slots"))
+    taken = taken.select(*[F.col(c).alias(f"_{c}") for c in ("doc_id", "source", "size")], "taken", "slots")
     same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in ("doc_id", "source", "size")]
     out = units.join(taken, same, "left").select(
-        "doc_id", "source", "size", "source_size", "target", "times", F.coalesce("taken", F.lit(0)).alias("taken"))
-    return out.withColumn("i", F.explode(F.sequence(F.lit(0), (F.col("times") - 1).cast("int")))).select(
-        "doc_id", "source", "size", "source_size", "target", F.floor((F.col("taken") + F.col("times") - 1 - F.col("i")) / F.col("times")).alias("taken"))
+        "doc_id", "source", "size", "source_size", "target", "times", F.coalesce("taken", F.lit(0)).alias("taken"),
+        F.when(F.size("slots") > 0, F.col("slots")).alias("slots"))
+    return _per_row(out).select(
+        "doc_id", "source", "size", "source_size", "target", F.floor((F.col("taken") + F.col("times") - 1 - F.col("i")) / F.col("times")).alias("taken"), "slots")
+
+
+def _per_row(units: DataFrame, chunk: int = 4096) -> DataFrame:
+    """Rows numbered ``i`` below their ``times`` again. Very many repetitions of one row are dealt over tasks first."""
+    few = units.filter(F.col("times") <= chunk).withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("times") - 1)))
+    many = units.filter(F.col("times") > chunk).withColumn("_c", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("times") - 1) / chunk))))
+    many = many.repartition("doc_id", "_c").withColumn(
+        "i", F.explode(F.sequence(F.col("_c") * chunk, F.least((F.col("_c") + 1) * chunk, F.col("times")) - 1))).drop("_c")
+    return few.unionByName(many)
 
 
 def _sized(docs: DataFrame) -> DataFrame:
@@ -154,23 +167,30 @@ def _sized(docs: DataFrame) -> DataFrame:
 
 
 def mix_report(docs: DataFrame, **options) -> DataFrame:
-    """doc_id, size, source_size, target, taken (tokens are words)."""
+    """doc_id, size, source_size, target, taken (tokens are words), first_slot (null for what is not taken)."""
     sized = _sized(docs)
-    return mix(sized, source_targets(sized), **options).select("doc_id", "size", "source_size", "target", "taken")
+    return mix(sized, source_targets(sized), **options).select(
+        "doc_id", "size", "source_size", "target", "taken", F.get("slots", F.lit(0)).alias("first_slot"))
 
 
 def mixed(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` as the mix takes them: each row as often as it is taken, rounded, so not at all or up to ``MOST`` times.
+    """``docs`` as the mix takes them: each row as often as it is taken, rounded, so not at all or up to ``MOST`` times, in the order
+    of the schedule (files and rows; a repetition comes at its own slot).
 
     Documents stay whole (only one per source is taken in part). Documents without words are no part of a mix of words
-    and are left as they are.
+    and are left as they are, before all others.
     """
     sized = _sized(docs)
     taken = mix(sized, source_targets(sized), **options)
     copies = taken.filter("size > 0").groupBy("doc_id", "source", "size").agg(
-        F.max(F.round(F.col("taken") / F.col("size"))).cast("int").alias("copies")).toDF("_id", "_source", "_size", "copies")
+        F.max(F.round(F.col("taken") / F.col("size"))).cast("int").alias("copies"), F.max("slots").alias("slots")).toDF("_id", "_source", "_size", "copies", "slots")
+    copies = copies.filter("copies > 0")
     rows = packed(docs).withColumn("size", n_words_of(F.col("row.text")))
-    joined = rows.join(copies, F.col("row.doc_id").eqNullSafe(F.col("_id")) & F.col("row.source").cast("string").eqNullSafe(F.col("_source"))
-                       & (F.col("size") == F.col("_size")), "left")
-    times = F.when(F.col("size") == 0, F.lit(1)).otherwise(F.coalesce("copies", F.lit(0)))
-    return unpacked(joined.filter(times > 0).withColumn("copy", F.explode(F.sequence(F.lit(1), times))), docs)
+    same = F.col("row.doc_id").eqNullSafe(F.col("_id")) & F.col("row.source").cast("string").eqNullSafe(F.col("_source")) & (F.col("size") == F.col("_size"))
+    none = F.lit(None).cast("long")
+    empty = rows.filter("size = 0").select("row", none.alias("slot"))
+    joined = rows.filter("size > 0").join(copies, same).withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
+    at = F.coalesce(F.get("slots", F.col("copy")), F.get("slots", F.size("slots") - 1))
+    laid = empty.union(joined.select("row", at.alias("slot")))
+    parts = shuffle_parts(docs.sparkSession)
+    return unpacked(laid.repartitionByRange(parts, "slot").sortWithinPartitions("slot"), docs)

@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -98,6 +99,29 @@ def test_rollup_commits_once(spark):
     assert {tuple(r) for r in rollup.totals().collect()} == {("s", "en", "v1", 3, 26), (None, None, "v1", 1, 1)}
 
 
+def test_a_batch_committed_during_compaction_counts_once(spark, monkeypatch):
+    rollup = token_rollup.Rollup(spark, scratch_path(spark, "t-rollup"))
+    shape = "source string, lang string, version string, tokens long, sign int"
+    one = spark.createDataFrame([("s", "en", "v1", 10, 1)], shape)
+    rollup.apply("a", one)
+    plain = token_rollup.Rollup._sum
+
+    def slow(self, number, names):
+        monkeypatch.setattr(token_rollup.Rollup, "_sum", plain)
+        rollup.apply("b", one)  # after the list of batches was taken, before the snapshot is written
+        return plain(self, number, names)
+
+    monkeypatch.setattr(token_rollup.Rollup, "_sum", slow)
+    rollup.compact()
+    assert [tuple(r) for r in rollup.totals().collect()] == [("s", "en", "v1", 2, 20)]
+    reading = rollup.totals()  # asked for before the next compaction, read after it
+    rollup.compact()
+    assert [tuple(r) for r in reading.collect()] == [("s", "en", "v1", 2, 20)]
+    rollup.compact()
+    assert [tuple(r) for r in rollup.totals().collect()] == [("s", "en", "v1", 2, 20)] and not rollup.apply("a", one) and not rollup.apply("b", one)
+    assert rollup._done("deltas") == [] and len(rollup._done("snapshots")) == 2
+
+
 # -- language id
 
 def test_held_out_accuracy(spark):
@@ -209,8 +233,12 @@ def test_fingerprints(spark):
         near[(doc_id, new)] = tuple(likeness(text, x) for x in (new, other))
     assert Counter((r["doc_id"], r["n_chars"], r["edited_sha256"]) for r in got) == want
     exact = {(d, hashlib.sha256(new.encode()).hexdigest()): v for (d, new), v in near.items()}
+    errors = []
     for r in got:
-        assert (r["near_edited"], r["near_next"]) == pytest.approx(exact[(r["doc_id"], r["edited_sha256"])])
+        one, two = (fingerprint.Published.parse([r[c]]) for c in ("fingerprint", "edited_fingerprint"))
+        assert one.text() == [r["fingerprint"]] and one.likeness(two)[0] == r["near_edited"]  # from what is published alone
+        errors += [abs(a - b) for a, b in zip((r["near_edited"], r["near_next"]), exact[(r["doc_id"], r["edited_sha256"])])]
+    assert max(errors) < 0.1 and sum(errors) / len(errors) < 0.02
     texts = {d: t or "" for d, t, *_ in rows}
     prints = defaultdict(set)
     for r in got:
@@ -222,9 +250,30 @@ def test_fingerprints(spark):
 
 
 def likeness(a, b):
-    a, b = fingerprint.digests(a), fingerprint.digests(b)
-    common = len(np.intersect1d(a, b))
-    return common / (len(a) + len(b) - common) if len(a) + len(b) else 1.0
+    """Of the multisets of paragraphs: lines, cut after marks that end a clause; parts without anything else belong to nothing."""
+    a, b = (Counter(p.strip() for p in re.findall(r"[^\n.,;:!?|]*[\n.,;:!?|]+|[^\n.,;:!?|]+", t) if p.strip()) for t in (a, b))
+    return (a & b).total() / (a | b).total() if a or b else 1.0
+
+
+def test_published_fingerprints_measure_any_distance():
+    rng = np.random.default_rng(9)
+    errors = []
+    for size, differ in ((0, 0), (0, 3), (5, 2), (400, 3), (40, 40), (300, 100), (1000, 900), (3000, 6000), (20_000, 500), (20_000, 40_000)):
+        both = rng.integers(0, 2**63, size).astype(np.uint64)
+        one, two = (np.unique(np.concatenate([both, rng.integers(0, 2**63, differ).astype(np.uint64)])) for _ in range(2))
+        near = fingerprint.Published.of([one]).likeness(fingerprint.Published.of([two]))[0]
+        true = size / (size + 2 * differ) if size + differ else 1.0
+        errors.append(abs(near - true))
+        if 2 * differ <= 4:  # a difference that the small sketch gives away is exact
+            assert near == true
+    assert max(errors) < 0.1
+
+
+def test_fingerprints_of_hot_ids(spark):
+    """Null and repeated ids: ranges part rows of one id by their text; every row still finds its neighbour."""
+    rows = [(None if i % 3 else 7, f"line {i}.\nand {i % 5}.", "en", "a") for i in range(300)]
+    got = fingerprint.fingerprint_report(documents(spark, rows).withColumns({n: F.lit(1) for n in ("part", "halo", "tie", "to", "_key", "_part")})).collect()
+    assert len(got) == 300 and Counter(r["doc_id"] for r in got) == Counter(r[0] for r in rows)
 
 
 def test_peeling_recovers_differences():

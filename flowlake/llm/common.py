@@ -59,13 +59,10 @@ class Memory:
         if missing and len(self.young) + len(missing) > self.limit:
             self.old, self.young, missing = self.young, {}, keys
         if missing:
-            ask = []
-            for key in missing:
-                value = self.old.get(key)
-                if value is None:
-                    ask.append(key)
-                else:
-                    self.young[key] = value
+            old = self.old
+            again = missing & old.keys()
+            self.young.update(zip(again, map(old.__getitem__, again)))
+            ask = list(missing - again)
             if ask:
                 self.young.update(zip(ask, self.make(ask)))
         return self.young

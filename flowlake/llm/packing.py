@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import bisect
 import functools
+import os
 import random
 import re
 import zlib
@@ -41,6 +42,7 @@ POPULATION = 8
 CHILDREN = 200
 STALE = 80
 FILLED = 0.995
+LINE = 256
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)").fullmatch
 
 
@@ -53,16 +55,31 @@ class Encoder:
     """
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the cores are Spark's
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.stretches, self.words = Memory(self._stretches), Memory(self._ids)
 
     def _ids(self, texts: list[str]) -> list[bytes]:
-        encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in encoded]
+        """Plain words are encoded many to a line, and told apart by the word that each id belongs to; all else is encoded alone."""
+        plain = [t for t in texts if t.isalpha()]
+        done = dict(zip(plain, self._lines(plain)))
+        others = [t for t in texts if t not in done]
+        done.update((t, np.array(e.ids, "<u4").tobytes()) for t, e in zip(others, self.tokenizer.encode_batch_fast(others, add_special_tokens=False)))
+        return [done[t] for t in texts]
+
+    def _lines(self, words: list[str]):
+        lines = [words[k: k + LINE] for k in range(0, len(words), LINE)]
+        for line, encoded in zip(lines, self.tokenizer.encode_batch([" ".join(x) for x in lines], add_special_tokens=False)):
+            owner, data = np.array(encoded.word_ids, np.int64), np.array(encoded.ids, "<u4").tobytes()
+            if len(owner) and owner[-1] + 1 == len(line) and (np.diff(owner, prepend=-1) <= 1).all():
+                cuts = (4 * np.searchsorted(owner, np.arange(len(line) + 1))).tolist()
+                yield from (data[a:b] for a, b in zip(cuts, cuts[1:]))
+            else:  # some word is not one word to the tokenizer
+                yield from (np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(line, add_special_tokens=False))
 
     def _stretches(self, texts: list[str]) -> list[bytes]:
-        parts = [(m[1].lower(), m[2]) if (m := _PLAIN(t)) else (t, "") for t in texts]
+        parts = [(t.lower(), "") if t.isascii() and t.isalpha() else (m[1].lower(), m[2]) if (m := _PLAIN(t)) else (t, "") for t in texts]
         known = self.words.known({w for pair in parts for w in pair})
         return [known[a] + known[b] if b else known[a] for a, b in parts]
 

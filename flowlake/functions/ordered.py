@@ -17,10 +17,12 @@ _INDEX_BITS = 33  # monotonically_increasing_id(): partition number above, row i
 
 
 def _ranged(df: DataFrame, order: list[str], parts: int | None) -> DataFrame:
+    # Counting, finding the limits of the ranges and the exchange would each make the rows anew; so they are written once before.
+    stored = materialise(df, "to-order")
     if parts is None:
-        parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), df.count() // ROWS_PER_PART)
+        parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), stored.count() // ROWS_PER_PART)
     laid_out = (
-        df.repartitionByRange(parts, *order)
+        stored.repartitionByRange(parts, *order)
         .sortWithinPartitions(*order)
         .withColumn("_mid", F.monotonically_increasing_id())
     )

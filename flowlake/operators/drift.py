@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from flowlake.streaming.commits import start_batches
+from flowlake.streaming.commits import committed, start_batches
 
 LEDGER = "field string, type string, status string, n long"
 WHOLE, REAL = "BIGINT", "DOUBLE"
@@ -71,5 +71,6 @@ def start_ledger(stream: DataFrame, schema: T.StructType, path: str, checkpoint:
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     """The ledger of all batches, with the first and last batch that had the field so."""
-    rows = spark.read.schema(f"{LEDGER}, batch long").option("basePath", path).parquet(f"{path}/batch=*")
+    shape = f"{LEDGER}, batch long"
+    rows = spark.read.schema(shape).option("basePath", path).parquet(f"{path}/batch=*") if committed(spark, path) else spark.createDataFrame([], shape)
     return rows.groupBy("field", "type", "status").agg(F.sum("n").alias("n"), F.min("batch").alias("first_batch"), F.max("batch").alias("last_batch"))

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from flowlake.operators.models import save_model, score
-from flowlake.streaming.commits import STAGING, committed, exists, move, start_batches
+from flowlake.streaming.commits import STAGING, committed, move, start_batches
 
 VERSION = "v="
 
@@ -71,6 +71,6 @@ def start_scoring(stream: DataFrame, root: str, path: str, checkpoint: str, labe
 
 def read_scored(spark: SparkSession, path: str) -> DataFrame:
     """Scored rows of all committed batches, with their ``batch``."""
-    if not exists(spark, path):
-        raise FileNotFoundError(path)
+    if not committed(spark, path):
+        raise FileNotFoundError(f"no batch has been scored under {path}")
     return spark.read.option("basePath", path).parquet(f"{path}/batch=*")

@@ -74,6 +74,16 @@ def test_exact_dedup_survives_a_batch_that_runs_again(spark):
     assert sorted(r["k"] for r in spark.read.parquet(out).collect()) == ["a", "b", "c"]
 
 
+def test_layers_of_an_empty_feed(spark):
+    from flowlake.sources.messages import envelope_schema
+    from flowlake.streaming.layers import Layout, run_layers, silver_rows
+    inbox = commits.make_folder(spark, scratch_path(spark, "t-in"))
+    schema = envelope_schema(T.StructType.fromDDL("`tcp.ack` double, `tcp.seq` double, Attack_type string"))
+    layout = Layout(scratch_path(spark, "t-empty"))
+    run_layers(spark, table_stream(spark, inbox, T.StructType.fromDDL("json_payload string, ingestion_time timestamp")), schema, ["flow_id"], layout)
+    assert silver_rows(spark, layout, schema).count() == 0
+
+
 def test_late_rows_open_only_the_folders_of_their_days(spark):
     out = scratch_path(spark, "t-keys")
     for number in range(3):

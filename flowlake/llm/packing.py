@@ -88,7 +88,7 @@ class Encoder:
 
     def block_ids(self, texts: list[str]) -> list[bytes]:
         split = [self.split(t) for t in texts]
-        known = self.stretches.known({s for stretches in split for s in stretches})
+        known = self.stretches.known(set().union(*split))
         return [b"".join(map(known.__getitem__, stretches)) for stretches in split]
 
     def block_counts(self, texts: list[str]) -> list[int]:
@@ -182,11 +182,27 @@ def _mutate(groups, sizes, room: int, rng: random.Random):
     return _best_fit(rest[extra:], [i for _, g in order[:n] + rest[:extra] for i in g], sizes, room)
 
 
+def least_groups(sizes: list[int], room: int) -> int:
+    """A number of groups that no packing goes below: pieces over half the room share no group, and what does not fit beside them, among
+    pieces of at least some size, needs groups of its own (the best such bound over all sizes)."""
+    if not sizes:
+        return 0
+    s = np.sort(np.array(sizes, np.int64))
+    sums = np.r_[0, np.cumsum(s)]
+    half = np.searchsorted(s, room // 2, side="right")  # from here on: over half
+    limits = np.unique(np.r_[0, s[:half]])
+    at_least = np.searchsorted(s, limits, side="left")
+    beside = np.maximum(np.searchsorted(s, room - limits, side="right"), half)  # from here on nothing of the limit fits beside
+    spare = (beside - half) * room - (sums[beside] - sums[half])
+    small = sums[half] - sums[at_least]
+    return int((len(s) - half + np.maximum(0, -(-(small - spare) // room))).max())
+
+
 def evolve(sizes: list[int], seeds: list[list[list[int]]], seed: str, room: int = ROOM, population: int = POPULATION, children: int = CHILDREN,
            stale: int = STALE) -> list[list[list[int]]]:
     """The population after one epoch, best first, from that before (``seeds``: packings as lists of groups); fresh packings fill it up."""
     rng = random.Random(seed)
-    least = -(-sum(sizes) // room)
+    least = least_groups(sizes, room)
     pool = [[(room - sum(sizes[i] for i in g), g) for g in groups] for groups in seeds]
     if not pool:
         pool = [_best_fit([], list(range(len(sizes))), sizes, room)]
@@ -228,7 +244,8 @@ def _island(table: pa.Table, room: int, epoch: int, last: bool) -> pa.Table:
     for _, packing in frame[frame["packing"] >= 0].groupby("packing", sort=True):
         seeds.append([[place[x] for x in g] for g in packing.groupby("group")["number"].apply(list)])
     found = evolve(sizes, seeds, f"{problem}/{island}/{epoch}", room)
-    if last or len(found[0]) <= -(-sum(sizes) // room):
+    least = least_groups(sizes, room)
+    if last or len(found[0]) <= least:
         found = found[:1]
     order = np.array([i for groups in found for g in groups for i in g], np.int64)
     group = np.concatenate([np.repeat(np.arange(len(groups)), [len(g) for g in groups]) for groups in found])
@@ -236,14 +253,14 @@ def _island(table: pa.Table, room: int, epoch: int, last: bool) -> pa.Table:
     return pa.table({
         "problem": pa.array([problem] * n, pa.int64()), "island": pa.array([island] * n, pa.int32()),
         "packing": pa.array(np.repeat(np.arange(len(found)), each), pa.int32()), "number": pa.array(numbers[order], pa.int64()),
-        "length": pa.array(np.array(sizes, np.int64)[order]), "group": pa.array(group, pa.int64())})
+        "length": pa.array(np.array(sizes, np.int64)[order]), "group": pa.array(group, pa.int64()), "least": pa.array([least] * n, pa.int64())})
 
 
 def _islander(room: int, epoch: int, last: bool):
     return lambda table: _island(table, room, epoch, last)
 
 
-_PACKED = "problem long, island int, packing int, number long, length long, `group` long"
+_PACKED = "problem long, island int, packing int, number long, length long, `group` long, least long"
 _MIGRANT = 1000  # a migrant's number among the packings of the island it comes to
 
 
@@ -253,11 +270,12 @@ def solve(pieces: DataFrame, room: int, size: int, islands: int, epochs: int) ->
     dealt = pieces.withColumn("problem", F.pmod(F.xxhash64("number", F.lit(11)), F.lit(problems)))
     start = dealt.withColumn("island", F.explode(F.sequence(F.lit(0), F.lit(islands - 1)))).select(
         "problem", "island", F.lit(-1).alias("packing"), "number", "length", F.lit(None).cast("long").alias("group"))
+    start = materialise(start, "islanders")  # every epoch reads it
     rows, finished = start, None
     for epoch in range(epochs):
         done = materialise(rows.groupBy("problem", "island").applyInArrow(_islander(room, epoch, epoch + 1 == epochs), _PACKED), "islands")
         scores = done.filter("packing = 0").groupBy("problem", "island").agg(
-            (F.max("group") + 1).alias("groups"), F.ceil(F.sum("length") / room).alias("least"))
+            (F.max("group") + 1).alias("groups"), F.max("least").alias("least"))
         best = materialise(scores.groupBy("problem").agg(
             F.min_by("island", F.struct("groups", "island")).alias("island"), (F.min("groups") <= F.min("least")).alias("ready")), "best")
         here = done.filter("packing = 0").join(best.filter("ready" if epoch + 1 < epochs else "true"), ["problem", "island"]).select(
@@ -266,7 +284,7 @@ def solve(pieces: DataFrame, room: int, size: int, islands: int, epochs: int) ->
         open_ones = best.filter("not ready").select("problem")
         if epoch + 1 == epochs or open_ones.isEmpty():
             break  # nothing is left, or every problem is at its proven minimum
-        done, start = done.join(open_ones, "problem"), start.join(open_ones, "problem")
+        done, start = done.join(open_ones, "problem").select(*start.columns), start.join(open_ones, "problem").select(*start.columns)
         rows = start.union(done)
         if islands > 1:  # the elite stays and also migrates to the next island
             elite = done.filter("packing = 0").select("problem", F.pmod(F.col("island") + 1, F.lit(islands)).alias("island"),

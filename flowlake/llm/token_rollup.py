@@ -63,7 +63,7 @@ class _RankCounts:
 
     def block_counts(self, texts: list[str]) -> list[int]:
         split = [self.split(t) for t in texts]
-        known = self.stretches.known({s for stretches in split if stretches is not None for s in stretches})
+        known = self.stretches.known(set().union(*(stretches for stretches in split if stretches is not None)))
         count = known.__getitem__
         return [self._counts([t])[0] if stretches is None else sum(map(count, stretches)) for t, stretches in zip(texts, split)]
 
@@ -82,7 +82,7 @@ class _IdCounts(Encoder):
 
     def block_counts(self, texts: list[str]) -> list[int]:
         split = [self.split(t) for t in texts]
-        count = self.lengths.known({s for stretches in split for s in stretches}).__getitem__
+        count = self.lengths.known(set().union(*split)).__getitem__
         return [sum(map(count, stretches)) for stretches in split]
 
 

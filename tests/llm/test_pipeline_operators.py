@@ -385,6 +385,26 @@ def test_islands_beat_plain_best_fit(spark):
     assert len(plain) == 172 and len(groups) <= 170
 
 
+def test_least_groups_is_a_bound():
+    """Never above the fewest groups that trying all ways finds, and at least the sum's bound."""
+    def fewest(sizes, room, groups=()):
+        if not sizes:
+            return len(groups)
+        tries = {g for g in groups if g >= sizes[0]}
+        best = fewest(sizes[1:], room, (*groups, room - sizes[0]))
+        for g in tries:
+            k = groups.index(g)
+            best = min(best, fewest(sizes[1:], room, (*groups[:k], g - sizes[0], *groups[k + 1:])))
+        return best
+
+    rng = random.Random(7)
+    for _ in range(150):
+        sizes = sorted((rng.randint(1, 10) for _ in range(rng.randrange(1, 8))), reverse=True)
+        least = packing.least_groups(sizes, 10)
+        assert -(-sum(sizes) // 10) <= least <= fewest(sizes, 10)
+    assert packing.least_groups([6] * 5 + [5] * 2, 10) == 6 and packing.least_groups([], 10) == 0
+
+
 def test_a_retried_epoch_packs_alike():
     rng = random.Random(5)
     sizes = [rng.randint(900, 2600) for _ in range(60)]

@@ -44,6 +44,13 @@ def test_every_model_scores(spark, sets, fitted):
         assert {r[0] for r in scored.select("predicted_class").distinct().collect()} <= set(sets.labels)
 
 
+def test_both_sides_have_the_same_columns(spark, sets):
+    assert sets.train.unionByName(sets.test).count() == 600
+    df = spark.createDataFrame([(i, i % 2, float(i)) for i in range(40)], "id long, Attack_label int, signal double")
+    two = M.training_set(df, ["id"], multiclass=False, features=["signal"], persist=False)
+    assert two.train.unionByName(two.test).count() == 40
+
+
 def test_cv_table(sets, fitted):
     rows = models.cv_results(sets.train, fitted["decision_tree"]).collect()
     assert [r["is_best"] for r in sorted(rows, key=lambda r: r["candidate"])] == [False, True]

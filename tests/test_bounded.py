@@ -382,3 +382,14 @@ def test_counts_from_footers(spark):
     spark.range(1000).repartition(3).write.parquet(path)
     assert monitor.footer_count(spark, path) == (1000, 1, True)
     assert spark.conf.get("spark.sql.sources.useV1SourceList").split(",").count("parquet") == 1
+
+
+def test_no_task_writes_the_whole_of_an_uneven_table(spark):
+    from flowlake.plans.cleaning import uneven_table
+    rows = spark.range(0, 4000, 1, 4).select(F.col("id").alias("flow_key"), F.lit("Normal").alias("Attack_type"))
+    path = scratch_path(spark, "uneven")
+    large = uneven_table(rows, path)
+    found = filelist.read(spark, path).groupBy(F.input_file_name().alias("path")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n")).collect()
+    assert len(found) == 4 * 13 and sum(r["n"] for r in found) == 4000 and found[0]["n"] <= 700
+    version = filelist.compact(spark, path, target=large["length"])
+    assert filelist.read(spark, path, version).count() == 4000 and filelist.files(spark, path).filter(F.col("path") == large["path"]).count() == 1

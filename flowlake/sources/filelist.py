@@ -11,12 +11,12 @@ bin packing of files, largest first), and writes each task's rows as one file. N
 
 from __future__ import annotations
 
-import contextlib
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from flowlake.session import settings
 from flowlake.streaming.commits import STAGING, committed, move
 
 LISTS = "_files"
@@ -66,19 +66,10 @@ def read(spark: SparkSession, path: str, version: int | None = None) -> DataFram
     return spark.read.parquet(*found)
 
 
-@contextlib.contextmanager
 def _packing(spark: SparkSession, target: int):
     """The scan packs whole files into tasks of up to ``target`` bytes."""
-    wanted = {"spark.sql.files.maxPartitionBytes": str(target), "spark.sql.files.openCostInBytes": "0", "spark.sql.files.minPartitionNum": "1",
-              "spark.sql.files.maxPartitionNum": None}
-    before = {k: spark.conf.get(k, None) for k in wanted}
-    try:
-        for key, value in wanted.items():
-            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
-        yield
-    finally:
-        for key, value in before.items():
-            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    return settings(spark, {"spark.sql.files.maxPartitionBytes": str(target), "spark.sql.files.openCostInBytes": "0",
+                            "spark.sql.files.minPartitionNum": "1", "spark.sql.files.maxPartitionNum": None})
 
 
 def small_files(spark: SparkSession, path: str, target: int = TARGET, version: int | None = None) -> DataFrame:

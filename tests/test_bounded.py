@@ -393,3 +393,17 @@ def test_no_task_writes_the_whole_of_an_uneven_table(spark):
     assert len(found) == 4 * 13 and sum(r["n"] for r in found) == 4000 and found[0]["n"] <= 700
     version = filelist.compact(spark, path, target=large["length"])
     assert filelist.read(spark, path, version).count() == 4000 and filelist.files(spark, path).filter(F.col("path") == large["path"]).count() == 1
+
+
+def test_the_dedup_reads_small_pieces(spark, monkeypatch):
+    """Copies of a row are still folded, and the settings hold while the clean layer is written and no longer."""
+    from flowlake.plans import medallion
+    spark.range(0, 6000, 1, 12).selectExpr("id % 3000 as flow_key", "cast(id % 7 as string) as source_ip").write.parquet(path := scratch_path(spark, "raw"))
+    seen, names, write = [], (medallion._SCAN, medallion._PARTS), medallion.write_table
+    monkeypatch.setattr(medallion, "write_table", lambda *a: (seen.append([spark.conf.get(n) for n in names]), write(*a))[1])
+    before = [spark.conf.get(n) for n in names]
+    raw = spark.read.parquet(path)
+    silver = medallion._write_clean(raw, scratch_path(spark, "silver"), "parquet", None, 1000)
+    assert sorted(map(tuple, silver.collect())) == sorted({tuple(r) for r in raw.collect()})
+    assert seen[0][0] == "1000" and int(seen[0][1]) >= 12 and [spark.conf.get(n) for n in names] == before
+    assert [medallion._bytes(x) for x in ("128MB", "8388608b", "1g", "5")] == [128 << 20, 8 << 20, 1 << 30, 5]

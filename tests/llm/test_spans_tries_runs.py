@@ -151,6 +151,28 @@ def test_added_spans_over_windows(learnt):
     assert spans[1] == [] and all(a[2] <= b[0] for a, b in zip(spans[0], spans[0][1:]))
 
 
+def test_added_spans_are_those_of_all_windows(learnt):
+    """An address without a digit or an at sign is found, and windows passed over never change what is found."""
+    model, held = learnt
+    rng = random.Random(7)
+    parts = [w for w, _ in held] + [list(personal_data.variants(w, s, rng))[1][0] for w, s in held if s]
+    plain = " the house and that of the man is not far from the other side of the river " * 3
+    texts = [plain.join(rng.choice(parts) for _ in range(8)) for _ in range(40)] + [" ".join(parts[k: k + 9]) for k in range(0, 90, 9)] + ["", "x", plain * 9]
+    some, every = (personal_data.model_spans(model, texts, windows) for windows in (personal_data.promising_windows, personal_data.windows_of))
+    assert [[s[:3] for s in t] for t in some] == [[s[:3] for s in t] for t in every] and sum(map(len, some)) > 40
+    text = f"{plain}mail anna.berg at example.net or so{plain}"
+    assert any(a <= text.index("anna") and text.index(" or so") <= b for a, b, *_ in personal_data.promising_windows(text))
+
+
+def test_an_address_without_a_digit_or_an_at_sign(monkeypatch):
+    address = "anna.berg at example.net"
+    text = f"{'no mark is here, ' * 20}mail {address} or that.example{' and none there' * 20}"
+    monkeypatch.setattr(personal_data, "decode", lambda _, windows: [
+        [(w.index(x), 0, w.index(x) + len(x), 0.99) for x in (address, "at.example") if x in w] for w in windows])
+    spans = personal_data.model_spans(None, [text])[0]
+    assert [text[s:e] for s, _, e, _ in spans] == [address]  # the other one holds but half a word
+
+
 def test_reconciled_is_the_best_set():
     rng = random.Random(3)
     for _ in range(200):

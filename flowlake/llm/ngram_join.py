@@ -44,6 +44,7 @@ SMALLEST = 6
 PART = 3
 CHANCES = 3
 TILE = 4096
+TRIED = 1 << 17  # pairs of a tile whose bitmaps are compared at once, 64 bytes a side
 HASH_BITS = 48
 _MASK = np.uint64((1 << HASH_BITS) - 1)
 
@@ -258,7 +259,7 @@ def _tile_pairs(table: pa.Table, percent: int, parts: int) -> pa.Table:
     out, at = [np.empty((3, 0), np.int64)], 0
     ends = np.cumsum(width)
     while at < len(ids):
-        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + (1 << 19), side="right")))
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + TRIED, side="right")))
         w = width[at:to]
         i = np.repeat(np.arange(at, to), w)
         j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(w) - w, w)

@@ -434,3 +434,24 @@ def test_pipeline_keeps_clean_documents(spark):
     lost = docs.join(good, "doc_id", "left_anti").join(truth.filter("quality = 1"), "doc_id").filter(F.regexp_count("text", F.lit(r"\S+")) >= 20)
     assert lost.count() == 0
     assert corpus_pipeline.run(spark, "/root/testdata/sf0.001").select("doc_id").distinct().count() > 50
+
+
+def test_a_large_tile_is_compared_in_small_blocks():
+    """Eight million pairs of a tile: the links are found, and memory does not follow the pairs."""
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+    size = 4000
+    rng = np.random.default_rng(1)
+    bits = [row.tobytes() for row in rng.integers(0, 1 << 62, (size // 2, 8), dtype=np.uint64)] * 2
+    same = pa.array(np.zeros(size, np.int64))
+    table = pa.table({"h": same, "tile": same, "p": same, "q": same, "own": same, "home": pa.array([True] * size), "doc_id": pa.array(np.arange(size)),
+                      "comp": pa.array(np.arange(size)), "n": pa.array(np.full(size, 100)), "bits": pa.array(bits, pa.binary())})
+    tracemalloc.start()
+    found = ngram_join._tile_pairs(table, 75, 4)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    pairs = ngram_join._gathered(found, 4).T
+    assert {(a, b) for a, b, *_ in pairs.tolist()} == {(k, k + size // 2) for k in range(size // 2)}
+    assert peak < 50e6, peak

@@ -51,6 +51,14 @@ def test_both_sides_have_the_same_columns(spark, sets):
     assert two.train.unionByName(two.test).count() == 40
 
 
+def test_forest_rows_keep_their_nodes(sets):
+    pipeline, stage = models.estimator("random_forest")
+    assert stage.getCacheNodeIds()
+    few = {stage.numTrees: 6, stage.maxDepth: 6}
+    kept, sent = (pipeline.copy({**few, stage.cacheNodeIds: on}).fit(sets.train) for on in (True, False))
+    assert kept.stages[-1].toDebugString.split("\n")[1:] == sent.stages[-1].toDebugString.split("\n")[1:]
+
+
 def test_cv_table(sets, fitted):
     rows = models.cv_results(sets.train, fitted["decision_tree"]).collect()
     assert [r["is_best"] for r in sorted(rows, key=lambda r: r["candidate"])] == [False, True]

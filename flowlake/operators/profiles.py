@@ -32,7 +32,11 @@ def _cells(df: DataFrame, fields: list[T.StructField], part: str) -> DataFrame:
               for i, c in enumerate(_numbers(fields))}
     # With a sign before it, since a sketch passes over empty texts.
     sketches = {f"d{i}": F.hll_sketch_agg(F.concat(F.lit("="), F.coalesce(quoted(f.name).cast("string"), F.lit(""))), F.lit(SKETCH_BITS)) for i, f in enumerate(fields)}
-    return df.groupBy(quoted(part).alias(part)).agg(*[c.alias(n) for n, c in (measures | spread | sketches).items()])
+    # One by one, as Spark generates no code for an aggregate with sketches in it, nor for one of so many cells.
+    found, *others = (df.groupBy(quoted(part).alias(part)).agg(*[c.alias(n) for n, c in kind.items()]) for kind in (measures, spread, sketches) if kind)
+    for other in others:  # one row per partition
+        found = found.join(other.withColumnRenamed(part, "_part"), quoted(part).eqNullSafe(F.col("_part"))).drop("_part")
+    return found
 
 
 def _rows(df: DataFrame, fields: list[T.StructField], part: str) -> DataFrame:

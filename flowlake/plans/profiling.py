@@ -180,13 +180,22 @@ def dq_stats_merged(spark, sf):
     return df.select("column_name", "n", *[F.round(c, 4).alias(c) for c in df.columns[2:]])
 
 
+def exact_distinct(df, columns):
+    """Distinct values by column (as text, null as the empty one). Cells are unpivoted first: distinct counts beside each other in one
+    aggregate would group by as many columns as there are, once for each."""
+    cells = [F.struct(F.lit(i).alias("place"), F.coalesce(F.col(c).cast("string"), F.lit("")).alias("value")) for i, c in enumerate(columns)]
+    counts = df.select(F.inline(F.array(*cells))).distinct().groupBy("place").agg(F.count(F.lit(1)).alias("n"))
+    found = {r["place"]: r["n"] for r in counts.collect()}  # one row per column
+    return {c: found.get(i, 0) for i, c in enumerate(columns)}
+
+
 @query("dq_distinct_merged", with_flows(union(
     f"select '{c}' as column_name, true as within from flows having count(*) > 0" for c in ALL_COLUMNS)))
 def dq_distinct_merged(spark, sf):
     """Distinct counts from merged sketches, held against exact ones: all within 5 %, five standard errors."""
     profile, fields = _profiled(spark, sf)
     df = flows(spark, sf)
-    exact = df.agg(*[F.count_distinct(F.coalesce(F.col(f.name).cast("string"), F.lit(""))).alias(f.name) for f in fields]).first()  # one row
-    true = F.create_map(*[F.lit(x) for f in fields for x in (f.name, exact[f.name])])
+    exact = exact_distinct(df, [f.name for f in fields])
+    true = F.create_map(*[F.lit(x) for c, n in exact.items() for x in (c, n)])
     near = F.abs(F.col("distinct_values") / true[F.col("column_name")] - 1) <= 0.05
     return P.distinct_values(spark, profile, fields).select("column_name", near.alias("within"))

@@ -333,6 +333,20 @@ def test_folds_by_key(spark):
 
 # -- profiles and sketches
 
+def test_distinct_counts_do_not_widen_rows(spark, capsys):
+    """Counts by column as the text has them, with nulls, and no plan that groups all columns once for each."""
+    from flowlake.plans.profiling import exact_distinct
+    df = spark.createDataFrame([(1, None, 0.0), (2, "", -0.0), (2, "a", None), (None, "b", float("nan"))], "i int, t string, x double")
+    assert exact_distinct(df, ["i", "t", "x"]) == {"i": 3, "t": 3, "x": 4}
+    assert exact_distinct(df.limit(0), ["i", "t"]) == {"i": 0, "t": 0}
+    parts = df.withColumn("p", F.when(F.col("i") == 2, 1))
+    cells = profiles._cells(parts, df.schema.fields, "p")
+    assert {r["p"]: (r["_rows"], r["m1"], r["n0"]) for r in cells.collect()} == {None: (2, 1, 1), 1: (2, 1, 2)}
+    cells.explain()
+    mixed = [line for line in capsys.readouterr().out.splitlines() if "hllsketchagg" in line.lower() and ("min(" in line or "stddev" in line or "var_pop" in line)]
+    assert not mixed
+
+
 def test_profiles_grow_by_new_partitions(spark):
     rows = [(d, f"{d}", None if i % 4 == 0 else float(i * d), float("inf") if i == 7 else float("nan") if i == 9 else 1.0, "x" if i % 3 else "y")
             for d in range(1, 6) for i in range(30) for _ in range(1 + (i == 3))]

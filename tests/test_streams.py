@@ -69,6 +69,14 @@ def _write(spark, path, rows, order):
     spark.createDataFrame(rows, PAYLOAD).coalesce(1).write.mode("append").parquet(path)
 
 
+def test_raw_layer_is_packed(spark):
+    source, layout = scratch_path(spark, "t-in"), S.Layout(scratch_path(spark, "t-out"))
+    _write(spark, source, [(message(str(i)), at(i)) for i in range(20)], 0)
+    S.run_layers(spark, table_stream(spark, source, T.StructType.fromDDL(PAYLOAD)), SCHEMA, ["flow_id"], layout, upto="bronze")
+    raw = spark.read.parquet(layout.table("bronze"))
+    assert raw.count() == 20 and all(f.endswith(".zstd.parquet") for f in raw.inputFiles())
+
+
 def test_layers_restart_and_dead_letters(spark):
     source, layout = scratch_path(spark, "t-in"), S.Layout(scratch_path(spark, "t-out"))
     payload_schema = T.StructType.fromDDL(PAYLOAD)

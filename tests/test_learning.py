@@ -1,6 +1,7 @@
 """Training, explanations and the run log on a small separable table."""
 
 import pytest
+from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import functions as F
 
 from flowlake.operators import explain as X
@@ -116,3 +117,33 @@ def test_registry(spark):
 def test_normalize(spark, text, key):
     df = spark.createDataFrame([(text,)], "t string")
     assert df.select(R.normalize_model(F.col("t"))).first()[0] == key
+
+
+def test_search_equals_spark_and_stores_no_folds(spark, sets, monkeypatch):
+    """The scores and the model of Spark's own search, without a stored copy of any fold beside the training set."""
+    held = []
+    evaluate = models.MulticlassClassificationEvaluator.evaluate
+    def noted(self, df, *more):
+        held.append(spark.sparkContext._jsc.getPersistentRDDs().size())
+        return evaluate(self, df, *more)
+    sets.train.count()
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    with monkeypatch.context() as m:
+        m.setattr(models.MulticlassClassificationEvaluator, "evaluate", noted)
+        ours = models.tune(sets.train, "decision_tree", grid=GRIDS["decision_tree"], folds=3, parallelism=1)
+    assert set(held) == {before} and len(held) == 6
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
+    pipeline, stage = models.estimator("decision_tree")
+    folded = sets.train.withColumn("fold", models.fold_of(F.col(M.FOLD_DRAW), 3))
+    theirs = CrossValidator(estimator=pipeline, estimatorParamMaps=ParamGridBuilder().addGrid(stage.maxDepth, [1, 3]).build(), numFolds=3, foldCol="fold",
+                            evaluator=models.MulticlassClassificationEvaluator(metricName="f1")).fit(folded)
+    assert [round(x, 9) for x in ours.avgMetrics] == [round(x, 9) for x in theirs.avgMetrics]
+    assert ours.bestModel.stages[-1].toDebugString.split("\n")[1:] == theirs.bestModel.stages[-1].toDebugString.split("\n")[1:]
+    assert [{p.name: v for p, v in x.items()} for x in ours.getEstimatorParamMaps()] == [{"maxDepth": 1}, {"maxDepth": 3}]
+    with pytest.raises(ValueError, match="training data at fold 0 is empty"):
+        models.tune(sets.train.filter(F.col(M.FOLD_DRAW) < M.RESOLUTION // 2), "decision_tree", grid=GRIDS["decision_tree"], folds=2)
+
+
+def test_fits_side_by_side_only_where_cores_are_idle(spark):
+    cores = spark.sparkContext.defaultParallelism
+    assert [models.fits_abreast(spark.range(0, 10, 1, n), 4) for n in (1, cores, 2 * cores, 6 * cores)] == [min(4, 3 * cores), 3, 2, 1]

@@ -55,7 +55,7 @@ class Memory:
 
     def known(self, keys: set) -> dict:
         """A dictionary that has all of ``keys``, and others."""
-        missing = keys - self.young.keys()
+        missing = keys.difference(self.young)  # asks for each key, where ``-`` would walk all that is kept
         if missing and len(self.young) + len(missing) > self.limit:
             self.old, self.young, missing = self.young, {}, keys
         if missing:

@@ -455,3 +455,24 @@ def test_a_large_tile_is_compared_in_small_blocks():
     pairs = ngram_join._gathered(found, 4).T
     assert {(a, b) for a, b, *_ in pairs.tolist()} == {(k, k + size // 2) for k in range(size // 2)}
     assert peak < 50e6, peak
+
+
+def test_encoder_looks_up_distinct_stretches_and_batches_mixed_ones():
+    """Ids of a block equal those of the whole texts; ASCII stretches that are no plain words share calls, too."""
+    encoder = packing.Encoder(tokenizer_path())
+    whole, calls = encoder.tokenizer, []
+
+    class Noted:
+        def encode_batch(self, texts, **options):
+            return whole.encode_batch(texts, **options)
+
+        def encode_batch_fast(self, texts, **options):
+            calls.extend(texts)
+            return whole.encode_batch_fast(texts, **options)
+
+    encoder.tokenizer = Noted()
+    mixed = [f"x-{i}/y_{i}!" for i in range(700)]
+    texts = ["", " ", "a\nb  c\t", "Don't (foo)\u00a0bar \u00c9t\u00e9, \u65e5\u672c\u8a9e. <|endoftext|> <s>x</s>", " ".join(mixed), "a. b, A! a..b :: ..."] + ["the end. " * 50] * 3
+    got = encoder.block_ids(texts)
+    assert [list(memoryview(x).cast("I")) for x in got] == [e.ids for e in whole.encode_batch(texts, add_special_tokens=False)]
+    assert encoder.block_ids([]) == [] and not set(calls) & set(mixed)

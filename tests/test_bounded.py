@@ -74,6 +74,20 @@ def test_exact_dedup_survives_a_batch_that_runs_again(spark):
     assert sorted(r["k"] for r in spark.read.parquet(out).collect()) == ["a", "b", "c"]
 
 
+def test_first_batch_is_read_once_and_later_ones_are_kept(spark, monkeypatch):
+    """There is nothing to compare the first batch with: it is not stored, and its days are not collected."""
+    inbox, out = commits.make_folder(spark, scratch_path(spark, "t-in")), scratch_path(spark, "t-out")
+    stream = table_stream(spark, inbox, T.StructType.fromDDL(FEED))
+    kept, kind = [], type(spark.range(1))
+    persist = kind.persist
+    monkeypatch.setattr(kind, "persist", lambda self, *a: kept.append(len(commits.committed(spark, out))) or persist(self, *a))
+    for k in range(2):
+        add(spark, inbox, [("a", at(k), 1), ("a", at(k), 2), (f"b{k}", None, 3)])
+        exact.start_exact(stream, ["k"], "ts", out, f"{out}-c", ttl="1 hour").awaitTermination()
+    assert kept and 0 not in kept
+    assert sorted(r["k"] for r in spark.read.parquet(out).collect()) == ["a", "b0", "b1"]
+
+
 def test_layers_of_an_empty_feed(spark):
     from flowlake.sources.messages import envelope_schema
     from flowlake.streaming.layers import Layout, run_layers, silver_rows

@@ -41,7 +41,7 @@ def mixed_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def packed_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack_report(docs, tokenizer_path())
+    return packing.pack_report(docs, tokenizer_path(), lean=True)  # the heaps are full-grown by then
 
 
 STAGES = [

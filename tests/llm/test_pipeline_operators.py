@@ -476,3 +476,34 @@ def test_encoder_looks_up_distinct_stretches_and_batches_mixed_ones():
     got = encoder.block_ids(texts)
     assert [list(memoryview(x).cast("I")) for x in got] == [e.ids for e in whole.encode_batch(texts, add_special_tokens=False)]
     assert encoder.block_ids([]) == [] and not set(calls) & set(mixed)
+
+
+def test_lean_pieces_are_the_same_in_less_memory():
+    """The pipeline packs on executors whose heaps are full-grown, so its encoders hold small blocks and remember little."""
+    import tracemalloc
+
+    import pyarrow as pa
+    texts = [" ".join(f"w{k}x{i % 997}, q{(i * k) % 5003}" for i in range(1500)) for k in range(150)] + [None, "", "a" * 50]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts, pa.string())], names=["doc_id", "text"])
+    peaks, found = [], []
+    for lean in (False, True):
+        packing.encoder_of.cache_clear()
+        tracemalloc.start()
+        found.append(list(packing._pieces([batch], tokenizer_path(), 4096, lean)))
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    packing.encoder_of.cache_clear()
+    assert found[0] == found[1]
+    assert peaks[1] < 0.6 * peaks[0], peaks
+
+
+def test_pipeline_packs_lean(spark, monkeypatch):
+    seen, report = [], packing.pack_report
+    monkeypatch.setattr(packing, "pack_report", lambda docs, path, **options: seen.append(options) or report(docs, path, **options))
+    docs = spark.createDataFrame([(i, "some words " * (i % 900), "en", "s", 1) for i in range(60)], "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.packed_documents(spark, docs, "")
+    plain = report(docs, tokenizer_path())
+    columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    assert seen == [{"lean": True}]
+    assert sorted(got.select(*columns).collect()) == sorted(plain.select(*columns).collect())
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000"

@@ -435,3 +435,20 @@ def test_the_dedup_reads_small_pieces(spark, monkeypatch):
     assert sorted(map(tuple, silver.collect())) == sorted({tuple(r) for r in raw.collect()})
     assert seen[0][0] == "1000" and int(seen[0][1]) >= 12 and [spark.conf.get(n) for n in names] == before
     assert [medallion._bytes(x) for x in ("128MB", "8388608b", "1g", "5")] == [128 << 20, 8 << 20, 1 << 30, 5]
+
+
+def test_large_row_groups_are_read_by_several_tasks(spark, monkeypatch):
+    """A row group is never split by the scan, so its rows are dealt over tasks before the dedup folds them."""
+    from flowlake.plans import medallion
+    null = F.lit(None).cast("double")
+    spark.range(0, 9000, 1, 1).select((F.col("id") % 4000).alias("flow_key"), F.when(F.col("id") % 4 > 0, (F.col("id") % 4).cast("double")).otherwise(null).alias("tcp.len"),
+                                      F.when(F.col("id") % 3 > 0, F.lit("x")).alias("source_ip")).write.parquet(path := scratch_path(spark, "raw"))
+    raw, parts, clean = spark.read.parquet(path), [], medallion.clean
+    monkeypatch.setattr(medallion, "clean", lambda df, **k: (parts.extend(r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()), clean(df, **k))[1])
+    silver = medallion._write_clean(raw, scratch_path(spark, "silver"), "parquet", None, 1000, 2000)
+    assert sum(parts) == 9000 and len(parts) == 5 and max(parts) < 2500
+    assert sorted(silver.collect()) == sorted(clean(raw).collect())
+    unsure = raw.withColumn("r", F.rand())
+    assert medallion._sliced(unsure, 5) is unsure and medallion._sliced(raw, 1) is raw
+    empty = medallion._write_clean(raw.limit(0), scratch_path(spark, "silver"), "parquet", None)
+    assert empty.count() == 0

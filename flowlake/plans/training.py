@@ -10,6 +10,7 @@ from flowlake.operators import evaluate as V
 from flowlake.operators import explain as X
 from flowlake.operators import mlprep as M
 from flowlake.operators import models, registry
+from flowlake.session import keep
 from flowlake.sources.tables import write_csv
 
 
@@ -38,7 +39,9 @@ def train_and_log(spark: SparkSession, df: DataFrame, keys: list[str], kind: str
     """
     sets = M.training_set(df, keys, features=features, seed=seed)
     model = models.tune(sets.train, kind, mode=mode, seed=seed, **options)
-    scored = models.score(sets.test, model).persist()
+    sets.release()  # its rows make room for the scored ones
+    scored = models.score(sets.test, model)
+    scored = keep(scored.select(*[c for c in ("label", "prediction", "probability") if c in scored.columns]))
     row = V.multiclass_metrics(scored).first()
     metrics = {k: row[k] for k in ("accuracy", "f1_score", "precision", "recall")}
     loss = V.log_loss(scored).first()["log_loss"]
@@ -53,7 +56,6 @@ def train_and_log(spark: SparkSession, df: DataFrame, keys: list[str], kind: str
         write_csv(models.cv_results(sets.train, model), f"{reports}/search")
         write_csv(V.confusion_matrix(scored, sets.labels), f"{reports}/confusion")
     scored.unpersist()
-    sets.release()
     return Run(run, model, sets, metrics)
 
 

@@ -452,3 +452,14 @@ def test_large_row_groups_are_read_by_several_tasks(spark, monkeypatch):
     assert medallion._sliced(unsure, 5) is unsure and medallion._sliced(raw, 1) is raw
     empty = medallion._write_clean(raw.limit(0), scratch_path(spark, "silver"), "parquet", None)
     assert empty.count() == 0
+
+
+def test_the_feature_layer_has_many_files(spark, monkeypatch):
+    """Tasks that read it later are as many as its pieces, so it is made from small ones."""
+    from flowlake.plans import medallion
+    rows = spark.range(0, 3000).selectExpr("id as flow_key", *[f"cast(id % 9 as double) as {c}" for c in (
+        "tcp_ack", "tcp_seq", "tcp_len", "tcp_flags", "tcp_checksum", "tcp_connection_syn", "tcp_connection_fin", "tcp_connection_rst")])
+    monkeypatch.setattr(medallion, "_write_clean", lambda raw, path, fmt, keys: medallion.write_table(raw.repartition(24), path, fmt))
+    monkeypatch.setattr(medallion, "FEATURE_SCAN_BYTES", 1000)
+    gold = medallion.run_batch(rows, scratch_path(spark, "layers"))
+    assert len(gold.inputFiles()) >= 24 and gold.count() == 3000 and sorted(r[0] for r in gold.select("flow_key").collect()) == list(range(3000))

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 from flowlake.operators import explain as X
 from flowlake.operators import mlprep as M
@@ -147,3 +148,25 @@ def test_search_equals_spark_and_stores_no_folds(spark, sets, monkeypatch):
 def test_fits_side_by_side_only_where_cores_are_idle(spark):
     cores = spark.sparkContext.defaultParallelism
     assert [models.fits_abreast(spark.range(0, 10, 1, n), 4) for n in (1, cores, 2 * cores, 6 * cores)] == [min(4, 3 * cores), 3, 2, 1]
+
+
+def test_kept_rows_are_small_batches_of_small_pieces(spark, monkeypatch):
+    """A block comes from disk batch by batch, never as one array; keeping fills nothing yet, and the settings end with it."""
+    from flowlake import session
+    spark.range(0, 24_000, 1, 24).selectExpr("id", "id % 7 as v").write.parquet(path := scratch_path(spark, "to-keep"))
+    names = [session.SCAN, "spark.sql.inMemoryColumnarStorage.batchSize", "spark.sql.adaptive.enabled"]
+    before, stored = [spark.conf.get(n) for n in names], lambda: {x.id(): x for x in spark.sparkContext._jsc.getPersistentRDDs().values()}
+    monkeypatch.setattr(session, "KEPT_SCAN_BYTES", 1000)
+    monkeypatch.setattr(session, "KEPT_BATCH_ROWS", 100)
+    old = set(stored())
+    kept = session.keep(spark.read.parquet(path).filter("v < 6"))
+    (new,) = set(stored()) - old
+    assert new not in {x.id() for x in spark.sparkContext._jsc.sc().getRDDStorageInfo()} and [spark.conf.get(n) for n in names] == before
+    assert kept.count() == spark.range(24_000).filter("id % 7 < 6").count()
+    blocks = stored()[new]
+    assert blocks.getStorageLevel().deserialized() and blocks.getStorageLevel().useDisk()
+    assert blocks.getNumPartitions() >= 24 and blocks.count() >= 24 * 9  # 857 rows a file
+    kept.unpersist()
+    sets = M.training_set(spark.range(40).selectExpr("id", "cast(id % 2 as string) as Attack_type", "cast(id as double) as x"), ["id"], features=["x"])
+    assert all(side.storageLevel == StorageLevel.MEMORY_AND_DISK_DESER for side in (sets.train, sets.test))
+    sets.release()

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from flowlake.functions.hashing import digest, draw
 from flowlake.functions.ordered import exact_quantiles, with_ordinal
 from flowlake.functions.safe import finite_or_null, quoted, try_num
+from flowlake.session import materialise
 
 
 def top_k(df: DataFrame, column: str, k: int, exclude: str | None = None) -> DataFrame:
@@ -160,11 +161,13 @@ def log1p_clipped(col: Column) -> Column:
 
 
 def frequent_classes(df: DataFrame, column: str, at_least: int = 50) -> DataFrame:
-    """Rows of classes that have at least that many rows."""
-    kept = (
-        df.groupBy(column).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= at_least).select(column)
-    )
-    return df.join(kept, column, "left_semi")
+    """Rows of classes that have at least that many rows.
+
+    The classes are written first: of a table of known size the planner sends a short list to the rows, which then stay where they are. Otherwise
+    all rows would be dealt out by class, and a few large classes are a few tasks.
+    """
+    kept = df.groupBy(column).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= at_least).select(column)
+    return df.join(materialise(kept, "frequent"), column, "left_semi")
 
 
 def box_statistics(df: DataFrame, by: str, columns: list[str], logged: list[str] | None = None, low: float = 0.02,

@@ -244,3 +244,12 @@ def test_message_rate_across_blocks(spark):
     for r in L.message_rate(df, "ts", span=60, block=100).collect():
         want = sum(r["second"] - 60 < s <= r["second"] for s in seconds)
         assert (r["window_count"], r["rate"]) == (want, want // min(60, r["second"] - seconds[0] + 1))
+
+
+def test_rows_of_frequent_classes_stay_where_they_are(spark):
+    """A short list of classes goes to the rows; dealt out by class, a few large classes would be a few tasks."""
+    df = spark.range(30_000_000).select(F.when(F.col("id") == 7, "rare").when(F.col("id") % 3 > 0, "a").when(F.col("id") % 2 == 0, "b").alias("c"))
+    kept = E.frequent_classes(df, "c", 2)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning(c" not in plan and "SortMergeJoin" not in plan
+    assert {r["c"]: r["count"] for r in kept.groupBy("c").count().collect()} == {"a": 19_999_999, "b": 5_000_000}  # without the rare one and nulls
